@@ -58,15 +58,28 @@ def clean_clicks(clicks: DataFrame, rules: RuleSet | str, from_date, to_date, tz
     return clicks.where(cond)
 
 
+def _click_day_ts(r: RuleSet, tz: str):
+    if r.click_day_from_upstream:
+        return F.col("event_date"), C.local_ts("revised_ts", tz)
+    return C.local_date("hit_ts", tz), C.local_ts("hit_ts", tz)
+
+
+def click_times(clicks: DataFrame, rules: RuleSet | str, from_date, to_date, tz: str = C.NEW_YORK) -> DataFrame:
+    """(account, day, time) of every cleaned click: a cheap superset of the
+    timeline's click rows, used to find hot account-days."""
+    r = rule_set(rules)
+    day, ts = _click_day_ts(r, tz)
+    return clean_clicks(clicks, r, from_date, to_date, tz).select(
+        "account_id", day.alias("event_date"), ts.alias("event_ts")
+    )
+
+
 def classify_clicks(clicks: DataFrame, rules: RuleSet | str, tz: str = C.NEW_YORK) -> DataFrame:
     """D2, D4, D6-D9 on cleaned clicks: one row per click, label and raw title."""
     r = rule_set(rules)
     details = F.lower("click_details") if r.lower_details else F.col("click_details")
     binge_type = C.first_segment("binge_source") if r.with_binge_type else F.lit(None).cast("string")
-    if r.click_day_from_upstream:
-        day, ts = F.col("event_date"), C.local_ts("revised_ts", tz)
-    else:
-        day, ts = C.local_date("hit_ts", tz), C.local_ts("hit_ts", tz)
+    day, ts = _click_day_ts(r, tz)
     device = {
         "normalized": C.normalize_click_device("device"),
         "raw": F.col("device"),

@@ -58,29 +58,42 @@ def _micros_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end)
 
 
+def hot_account_days(times: DataFrame, hot_key_rows: int) -> DataFrame:
+    """Account-days with more than ``hot_key_rows`` rows, with their time span.
+
+    ``times`` holds ``account_id, event_date, event_ts`` of the timeline rows
+    (or of a superset of them). One partial aggregation: every task combines
+    its rows per key before the shuffle, so a hot key costs one row per task.
+    """
+    return (
+        times.where(F.col("event_date").isNotNull())
+        .groupBy(*BASE_KEYS)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("event_ts").alias("_t0"), F.max("event_ts").alias("_t1"))
+        .where(F.col("_n") > hot_key_rows)
+        .select(*BASE_KEYS, "_n", "_t0", "_t1", F.lit(hot_key_rows).alias("_target"))
+    )
+
+
 def assign_chunks(
     timeline: DataFrame,
-    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+    hot_keys: DataFrame | None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> tuple[DataFrame, Layout]:
     """Tag rows of hot account-days with a time chunk.
 
-    The chunk is a monotone function of the timestamp, so equal timestamps
-    share a chunk and the chunk order is the row order.
+    Chunks are equal slices of the key's time span holding about
+    ``_target`` rows each on average. The chunk is a monotone function of
+    the timestamp, so equal timestamps share a chunk and chunk order is row
+    order. When there are no hot keys the timeline is returned untouched.
     """
-    if hot_key_rows is None:
+    if hot_keys is None:
         return timeline, Layout(chunked=False)
-    hot = (
-        timeline.where(F.col("event_date").isNotNull())
-        .groupBy(*BASE_KEYS)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("event_ts").alias("_t0"), F.max("event_ts").alias("_t1"))
-        .where(F.col("_n") > hot_key_rows)
-    )
-    side, n_hot = bounded_broadcast(hot, max_broadcast_rows)
+    side, n_hot = bounded_broadcast(hot_keys, max_broadcast_rows)
     if n_hot == 0:
+        side.unpersist()
         return timeline, Layout(chunked=False)
     span = _micros_between(F.col("_t0"), F.col("_t1")) + 1
-    width = F.greatest(F.ceil(span * F.lit(hot_key_rows) / F.col("_n")), F.lit(1))
+    width = F.greatest(F.ceil(span * F.col("_target") / F.col("_n")), F.lit(1))
     chunk = F.when(F.col("_n").isNotNull(), F.floor(_micros_between(F.col("_t0"), F.col("event_ts")) / width))
     tagged = timeline.join(side, list(BASE_KEYS), "left").select(
         *timeline.columns,
@@ -155,7 +168,7 @@ def sequence_timeline(
     keys: tuple[str, ...],
     *,
     between: Callable[[DataFrame], DataFrame] | None = None,
-    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+    hot_keys: DataFrame | None = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Feeder, last action, island number and seconds, neighbours.
@@ -163,11 +176,12 @@ def sequence_timeline(
     ``keys`` are the sequence keys (``account_id, event_date[, device]``).
     ``between`` filters rows after the island numbers are set and before the
     island seconds are summed (the popular-title filter of R1).
+    ``hot_keys`` (from ``hot_account_days``) switches on chunking for them.
 
     Adds: ``feeder_title, feeder_video_id, last_action, island,
     island_seconds, prev_title, prev_feeder, next_title, next_feeder``.
     """
-    tagged, layout = assign_chunks(timeline, hot_key_rows, max_broadcast_rows)
+    tagged, layout = assign_chunks(timeline, hot_keys, max_broadcast_rows)
     t = tagged.repartition(*layout.partition_keys)
     t = add_feeder(t, layout)
 

@@ -51,3 +51,11 @@ def prepare_videos(videos: DataFrame, rules: RuleSet | str, from_date, to_date)
         "seconds_no_ads",
         F.lit(True).alias("is_video"),
     )
+
+
+def video_times(videos: DataFrame, rules: RuleSet | str, from_date, to_date) -> DataFrame:
+    """(account, day, time) of every cleaned play, for hot-key detection."""
+    r = rule_set(rules)
+    return clean_videos(videos, from_date, to_date).select(
+        "account_id", "event_date", C.shift_seconds("event_ts", r.video_shift_seconds).alias("event_ts")
+    )

@@ -1,14 +1,15 @@
 """Size-checked broadcasts and lineage cuts.
 
 A side is broadcast only after its row count has been checked against a
-bound; past the bound the caller gets the DataFrame back untouched and
-Spark plans a shuffle join instead. Small derived tables that are both
-counted and joined are first written to the cluster's checkpoint folder, so
-the count and the join read the same files instead of recomputing.
+bound; past the bound the caller gets the DataFrame back and Spark plans a
+shuffle join instead. The checked table is persisted (memory, then disk) by
+the counting job, so the join reads it instead of recomputing it; if an
+executor holding blocks is lost, Spark recomputes them from lineage.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
     """Return ``(side, rows)``: ``side`` is broadcast only if ``rows <= max_rows``."""
-    df = materialize(df)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     rows = df.count()
     if rows <= max_rows:
         return F.broadcast(df), rows
