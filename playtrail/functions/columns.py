@@ -185,6 +185,12 @@ def local_date(utc_ts: str | Column, tz: str = NEW_YORK) -> Column:
     return F.to_date(local_ts(utc_ts, tz))
 
 
+def local_yesterday(tz: str = NEW_YORK) -> Column:
+    """yesterday's date in ``tz`` (the daily job's default day)."""
+    now_utc = F.current_timestamp().cast("timestamp_ntz")  # session zone is UTC
+    return F.date_sub(F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(tz), now_utc)), 1)
+
+
 def shift_seconds(ts: str | Column, seconds: int) -> Column:
     """Move a timestamp by a whole number of seconds."""
     if seconds == 0:

@@ -272,3 +272,15 @@ def build_attribution(
     if all_columns:
         return out
     return out.select(*r.output_columns)
+
+
+def presentation_order(df: DataFrame, rules: RuleSet | str) -> DataFrame:
+    """O1/O2: the original's final ORDER BY (account, day[, device], time).
+
+    A total order is a range shuffle of the whole result; use it for
+    displayed results only. Saved tables are clustered per file instead
+    (``maintenance.save_table``).
+    """
+    r = rule_set(rules)
+    keys = ["account_id", "event_date"] + (["device"] if r.ladder == "r3" and r.device_in_keys else []) + ["event_ts"]
+    return df.orderBy(*keys)

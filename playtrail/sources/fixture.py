@@ -41,7 +41,7 @@ def events_as_clickstream(events: DataFrame, details_page: str = R4.details_page
     s = _show(k)
     eid = F.col("event_id")
     acct = F.floor(F.col("user_id") / 5)
-    hit = F.convert_timezone(F.lit(C.NEW_YORK), F.lit("UTC"), F.col("ts"))
+    hit = F.convert_timezone(F.lit(C.NEW_YORK), F.lit("UTC"), F.col("ts").cast("timestamp_ntz"))
     details = C.first_match(
         [
             (eid % 10 == 0, F.concat(F.lit("Series-Cue-Up||"), s, F.lit("|auto-play"))),
@@ -96,7 +96,7 @@ def events_as_video_log(events: DataFrame) -> DataFrame:
     return events.where(F.col("event_type").isin(*VIDEO_EVENTS)).select(
         _account().alias("account_id"),
         F.to_date("ts").alias("event_date"),
-        F.col("ts").alias("event_ts"),
+        F.col("ts").cast("timestamp_ntz").alias("event_ts"),
         display.alias("display_name"),
         F.concat(F.lit("Show "), (k % 5).cast("string")).alias("program"),
         F.concat(F.lit("Episode "), (k % 12).cast("string"), F.lit("!")).alias("episode_title"),
