@@ -65,13 +65,14 @@ def _click_day_ts(r: RuleSet, tz: str):
 
 
 def click_times(clicks: DataFrame, rules: RuleSet | str, from_date, to_date, tz: str = C.NEW_YORK) -> DataFrame:
-    """(account, day, time) of every cleaned click: a cheap superset of the
-    timeline's click rows, used to find hot account-days."""
+    """(account, day, time) of every click of the period: a superset of the
+    timeline's click rows, used to find hot account-days. It skips the
+    details filters so the scan reads only the account and time columns."""
     r = rule_set(rules)
     day, ts = _click_day_ts(r, tz)
-    return clean_clicks(clicks, r, from_date, to_date, tz).select(
-        "account_id", day.alias("event_date"), ts.alias("event_ts")
-    )
+    cond = F.col("account_id").isNotNull() & F.col("hit_ts").isNotNull() & coarse_utc_bound("hit_ts", from_date, to_date)
+    cond = cond & C.local_date("hit_ts", tz).between(F.lit(str(from_date)).cast("date"), F.lit(str(to_date)).cast("date"))
+    return clicks.where(cond).select("account_id", day.alias("event_date"), ts.alias("event_ts"))
 
 
 def classify_clicks(clicks: DataFrame, rules: RuleSet | str, tz: str = C.NEW_YORK) -> DataFrame:

@@ -90,7 +90,6 @@ def assign_chunks(
         return timeline, Layout(chunked=False)
     side, n_hot = bounded_broadcast(hot_keys, max_broadcast_rows)
     if n_hot == 0:
-        side.unpersist()
         return timeline, Layout(chunked=False)
     span = _micros_between(F.col("_t0"), F.col("_t1")) + 1
     width = F.greatest(F.ceil(span * F.col("_target") / F.col("_n")), F.lit(1))

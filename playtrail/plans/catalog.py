@@ -302,8 +302,12 @@ def watch_time_parts(spark, sf_dir):
 
 
 def _r4_table(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The reports read a saved attribution table, as in production: the R4
+    build is written once (day-partitioned) and scanned by every branch."""
     _, videos = _inputs(spark, sf_dir)
-    return _attribution(spark, sf_dir, "R4"), videos
+    path = _scratch_table(spark, "attribution_r4")
+    M.save_table(_attribution(spark, sf_dir, "R4"), path)
+    return spark.read.parquet(path), videos
 
 
 def first_starts(spark, sf_dir):

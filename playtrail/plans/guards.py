@@ -2,14 +2,15 @@
 
 A side is broadcast only after its row count has been checked against a
 bound; past the bound the caller gets the DataFrame back and Spark plans a
-shuffle join instead. The checked table is persisted (memory, then disk) by
-the counting job, so the join reads it instead of recomputing it; if an
-executor holding blocks is lost, Spark recomputes them from lineage.
+shuffle join instead. The checked table is first written to the cluster's
+checkpoint folder (a reliable checkpoint: it survives executor loss), so the
+count and the join read the same files instead of recomputing them. Cached
+tables are avoided on purpose: every cached plan is matched against every
+later query's plan, which slows planning down in long sessions.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
     """Return ``(side, rows)``: ``side`` is broadcast only if ``rows <= max_rows``."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = materialize(df)
     rows = df.count()
     if rows <= max_rows:
         return F.broadcast(df), rows

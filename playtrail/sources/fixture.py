@@ -110,6 +110,7 @@ def events_as_video_log(events: DataFrame) -> DataFrame:
 
 
 _WRITTEN: dict[tuple[str, str], tuple[str, str]] = {}
+_FRAMES: dict[tuple[int, str], tuple[DataFrame, DataFrame]] = {}
 
 
 def fixture_tables(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -130,5 +131,9 @@ def fixture_tables(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         for path, table in zip(paths, (events_as_clickstream(events), events_as_video_log(events))):
             table.repartitionByRange("event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
         _WRITTEN[key] = paths
-    clicks_path, videos_path = _WRITTEN[key]
-    return read_clickstream(spark, clicks_path), read_video_log(spark, videos_path)
+    # Listed once per session; every query scans the same two tables.
+    frames_key = (id(spark), sf_dir)
+    if frames_key not in _FRAMES:
+        clicks_path, videos_path = _WRITTEN[key]
+        _FRAMES[frames_key] = (read_clickstream(spark, clicks_path), read_video_log(spark, videos_path))
+    return _FRAMES[frames_key]
