@@ -31,20 +31,25 @@ ORDER_TIMELINE = ", ".join(
 )
 
 
-def inputs(p=PARAMS) -> str:
+def inputs(p=PARAMS, shared_every=None) -> str:
     page = p["details_page"]
+    pooled = "CAST(floor(user_id / 5) AS BIGINT)"
+    acct = pooled if shared_every is None else f"CASE WHEN user_id % {shared_every} = 0 THEN -1 ELSE {pooled} END"
     return f"""
 ev AS (
   SELECT event_id, ts, user_id, event_type, value,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-         CAST(floor(user_id / 5) AS BIGINT) AS acct
+         {acct} AS acct
   FROM events
 ),
 ev_s AS (
-  SELECT *, CASE WHEN k % 5 = 0 THEN 'Show: ' ELSE 'Show ' END || CAST(k % 5 AS VARCHAR) AS s FROM ev
+  SELECT *, CASE WHEN k % 5 = 0 THEN 'Show: ' ELSE 'Show ' END || CAST(k % 5 AS VARCHAR) AS s,
+         CASE WHEN acct = -1 THEN 'shared' ELSE CAST(acct AS VARCHAR) END AS acct_name,
+         CASE WHEN acct = -1 THEN 0 ELSE acct % 4 END AS dk
+  FROM ev
 ),
 clickstream AS (
-  SELECT CAST(acct AS VARCHAR) AS account_id,
+  SELECT acct_name AS account_id,
          CAST(ts AS DATE) AS event_date,
          timezone('UTC', timezone('{TZ}', ts)) AS revised_ts,
          timezone('UTC', timezone('{TZ}', ts)) AS hit_ts,
@@ -62,12 +67,12 @@ clickstream AS (
            WHEN 8 THEN 'cue-up|dismiss'
            ELSE 'tile|display' END AS click_details,
          CAST(NULL AS VARCHAR) AS platform,
-         CASE acct % 4 WHEN 0 THEN 'PS4' WHEN 1 THEN 'Xbox One' WHEN 2 THEN 'Android TV' ELSE 'Xfinity' END AS device,
+         CASE dk WHEN 0 THEN 'PS4' WHEN 1 THEN 'Xbox One' WHEN 2 THEN 'Android TV' ELSE 'Xfinity' END AS device,
          CASE WHEN event_id % 10 = 7 THEN 'sle-binge|x' END AS binge_source
   FROM ev_s WHERE event_type IN ('click', 'signup', 'error')
 ),
 video_log AS (
-  SELECT CAST(acct AS VARCHAR) AS account_id,
+  SELECT acct_name AS account_id,
          CAST(ts AS DATE) AS event_date,
          ts AS event_ts,
          CASE WHEN k % 5 = 4 AND event_id % 7 = 0 THEN 'N/A'
@@ -75,7 +80,7 @@ video_log AS (
          'Show ' || CAST(k % 5 AS VARCHAR) AS program,
          'Episode ' || CAST(k % 12 AS VARCHAR) || '!' AS episode_title,
          CASE WHEN event_id % 19 = 0 THEN 'Show 3' ELSE 'N/A' END AS content_channel,
-         CASE acct % 4 WHEN 0 THEN 'Playstation' WHEN 1 THEN 'Xbox'
+         CASE dk WHEN 0 THEN 'Playstation' WHEN 1 THEN 'Xbox'
               WHEN 2 THEN CASE WHEN event_id % 2 = 0 THEN 'Google TV' ELSE 'Android TV' END
               ELSE CASE WHEN event_id % 2 = 0 THEN 'Xfinity X1' ELSE 'Xfinity Flex' END END AS device,
          CAST(event_id AS VARCHAR) AS video_id,
@@ -388,9 +393,9 @@ labelled1 AS (
 labelled AS (SELECT *, watch_time_start + watch_time_carry AS final_watch_time FROM labelled1)"""
 
 
-def attribution_body(rs: str, p=PARAMS) -> str:
+def attribution_body(rs: str, p=PARAMS, shared_every=None) -> str:
     """WITH-list (without the WITH keyword) ending in ``labelled``."""
-    parts = [inputs(p), clicks_ctes(rs, p), map_ctes(rs, p), videos_ctes(rs, p)]
+    parts = [inputs(p, shared_every), clicks_ctes(rs, p), map_ctes(rs, p), videos_ctes(rs, p)]
     if RULES[rs]["popular"]:
         parts.append(popular_ctes(p))
     parts += [sequence_ctes(rs, p), label_ctes(rs)]
@@ -414,9 +419,9 @@ def select_list(cols) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" if c in ROUNDED else c for c in cols)
 
 
-def attribution_sql(rs: str, p=PARAMS) -> str:
+def attribution_sql(rs: str, p=PARAMS, shared_every=None) -> str:
     where = "WHERE final_watch_time > 0" if RULES[rs]["positive"] else ""
-    return f"WITH {attribution_body(rs, p)}\nSELECT {select_list(OUT[rs])} FROM labelled {where}"
+    return f"WITH {attribution_body(rs, p, shared_every)}\nSELECT {select_list(OUT[rs])} FROM labelled {where}"
 
 
 def attribution_table_sql(p=PARAMS) -> str:
@@ -545,6 +550,8 @@ GROUP BY 1, 2, 3"""),
         "attribution_r1_hot_keys": attribution_sql("R1"),
         "attribution_r3_hot_keys": attribution_sql("R3"),
         "attribution_r4_hot_keys": attribution_sql("R4"),
+        "attribution_r4_shared_account": attribution_sql("R4", shared_every=PARAMS["shared_every"]),
+        "attribution_r3_shared_account": attribution_sql("R3", shared_every=PARAMS["shared_every"]),
         "watch_time_parts": w(attribution_body(R4), "SELECT account_id, event_date, event_ts, device, title, video_id, "
                                                     "start_type, " + select_list(["watch_time_start", "watch_time_carry",
                                                                                   "final_watch_time"]) + " FROM labelled"),

@@ -226,7 +226,7 @@ def sequence_timeline(
         )
         return out
 
-    fix = _chunk_fixups(pre, post, keys, max_broadcast_rows)
+    fix = _chunk_fixups(pre, post, keys, filtered=between is not None)
     joined = post.join(fix.hint("shuffle_hash"), [*BASE_KEYS, "_chunk"], "left")
     extra = tuple(k for k in keys if k not in BASE_KEYS)
     e = _pick("_fix", extra)
@@ -254,59 +254,83 @@ def sequence_timeline(
     )
 
 
-def _chunk_fixups(pre: DataFrame, post: DataFrame, keys: tuple[str, ...], max_broadcast_rows: int) -> DataFrame:
+def _chunk_fixups(pre: DataFrame, post: DataFrame, keys: tuple[str, ...], filtered: bool) -> DataFrame:
     """One row per hot (account, day, chunk) with the cross-chunk values.
 
-    All inputs here are chunk summaries: at most one row per chunk and key,
-    so every window below spans at most the number of chunks of one key.
+    Everything here works on chunk summaries: one row per chunk and key (or
+    a few entries per chunk), so every window below spans at most the number
+    of chunks of one key. ``pre``/``post`` are the rows before and after the
+    optional filter between island numbering and island seconds (``filtered``
+    says whether they differ).
     """
     keys = list(keys)
     order = F.struct(*TIMELINE_ORDER)
-    lags = (
-        pre.where(F.col("_hot"))
-        .groupBy(*keys, "_chunk")
-        .agg(
-            F.max_by(F.struct("action", "title", "feeder_title"), order).alias("_last"),
-            F.min_by(F.struct("title", "feeder_title"), order).alias("_first"),
-            F.max("_grp").alias("_tot"),
+    head = F.col("_grp") == 0
+    tail = F.col("_grp") == F.col("_tot_row")
+    neighbours = [
+        F.max_by(F.struct("action", "title", "feeder_title"), order).alias("_last"),
+        F.min_by(F.struct("title", "feeder_title"), order).alias("_first"),
+        F.max("_grp").alias("_tot"),
+    ]
+    partials = [
+        F.sum(F.when(head, F.col("_contrib"))).alias("_head_part"),
+        F.max(head).alias("_has_head"),
+        F.sum(F.when(tail, F.col("_contrib"))).alias("_tail_part"),
+        F.max(tail).alias("_has_tail"),
+    ]
+    if not filtered:
+        summary = post.where(F.col("_hot")).groupBy(*keys, "_chunk").agg(*neighbours, *partials)
+    else:
+        # Neighbours and island numbers come from the rows before the
+        # filter; a chunk may lose all its rows to the filter.
+        before = pre.where(F.col("_hot")).groupBy(*keys, "_chunk").agg(*neighbours)
+        after = post.where(F.col("_hot")).groupBy(*keys, "_chunk").agg(*partials)
+        summary = before.join(after, _null_safe_on(before, after, keys + ["_chunk"]), "left").select(
+            before["*"], "_head_part", "_has_head", "_tail_part", "_has_tail"
         )
-    )
     ws = Window.partitionBy(*keys).orderBy("_chunk")
-    lags = lags.select(
+    s = summary.select(
         *keys,
         "_chunk",
         "_tot",
+        "_head_part",
+        "_has_head",
+        "_tail_part",
+        "_has_tail",
         F.lag("_last").over(ws).alias("_prev_last"),
         F.lead("_first").over(ws).alias("_next_first"),
         F.coalesce(F.sum("_tot").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
     )
-    head = F.col("_grp") == 0
-    tail = F.col("_grp") == F.col("_tot_row")
-    parts = (
-        post.where(F.col("_hot"))
-        .groupBy(*keys, "_chunk")
-        .agg(
-            F.sum(F.when(head, F.col("_contrib"))).alias("_head_part"),
-            F.max(head).alias("_has_head"),
-            F.sum(F.when(tail, F.col("_contrib"))).alias("_tail_part"),
-            F.max(tail).alias("_has_tail"),
+    # An island that crosses chunk borders is the tail island of one chunk and
+    # the head island of the next ones; its global number is the same in all
+    # of them. Each chunk contributes its head and tail partial sums as
+    # entries, the island total is a window sum over entries of one island,
+    # and a third entry per chunk keeps chunks without border islands.
+    entry = F.explode(
+        F.array(
+            F.struct(F.lit("h").alias("kind"), F.col("_offset").alias("g"), F.col("_head_part").alias("p"),
+                     F.coalesce(F.col("_has_head"), F.lit(False)).alias("on")),
+            F.struct(F.lit("t").alias("kind"), (F.col("_offset") + F.col("_tot")).alias("g"),
+                     F.col("_tail_part").alias("p"),
+                     (F.coalesce(F.col("_has_tail"), F.lit(False)) & (F.col("_tot") > 0)).alias("on")),
+            F.struct(F.lit("c").alias("kind"), F.lit(None).cast("long").alias("g"), F.lit(None).cast("double").alias("p"),
+                     F.lit(True).alias("on")),
         )
     )
-    s = lags.join(parts, _null_safe_on(lags, parts, keys + ["_chunk"]), "left").select(
-        lags["*"], "_head_part", "_has_head", "_tail_part", "_has_tail"
+    entries = s.select(*keys, "_chunk", "_prev_last", "_next_first", "_offset", "_tot", entry.alias("_e")).where(
+        F.col("_e.on")
     )
-    heads = s.where(F.col("_has_head")).select(*keys, F.col("_offset").alias("_g"), F.col("_head_part").alias("_p"))
-    tails = s.where(F.col("_has_tail") & (F.col("_tot") > 0)).select(
-        *keys, (F.col("_offset") + F.col("_tot")).alias("_g"), F.col("_tail_part").alias("_p")
+    entries = entries.select(
+        "*", F.sum("_e.p").over(Window.partitionBy(*keys, F.col("_e.g"))).alias("_island_total")
     )
-    totals = heads.unionByName(tails).groupBy(*keys, "_g").agg(F.sum("_p").alias("_total"))
-    ht = totals.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.col("_g").alias("_h_g"), F.col("_total").alias("_head_total"))
-    tt = totals.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_g").alias("_t_g"), F.col("_total").alias("_tail_total"))
-    s = s.join(
-        ht, _all([s[k].eqNullSafe(ht[f"_h_{k}"]) for k in keys]) & (s["_offset"] == ht["_h_g"]), "left"
-    ).join(
-        tt, _all([s[k].eqNullSafe(tt[f"_t_{k}"]) for k in keys]) & ((s["_offset"] + s["_tot"]) == tt["_t_g"]), "left"
+    per_chunk = entries.groupBy(*keys, "_chunk").agg(
+        F.first("_prev_last", ignorenulls=True).alias("_prev_last"),
+        F.first("_next_first", ignorenulls=True).alias("_next_first"),
+        F.first("_offset").alias("_offset"),
+        F.first("_tot").alias("_tot"),
+        F.max(F.when(F.col("_e.kind") == "h", F.col("_island_total"))).alias("_head_total"),
+        F.max(F.when(F.col("_e.kind") == "t", F.col("_island_total"))).alias("_tail_total"),
     )
     extra = [k for k in keys if k not in BASE_KEYS]
-    entry = F.struct(*extra, "_prev_last", "_next_first", "_offset", "_tot", "_head_total", "_tail_total")
-    return s.groupBy(*BASE_KEYS, "_chunk").agg(F.collect_list(entry).alias("_fix"))
+    packed = F.struct(*extra, "_prev_last", "_next_first", "_offset", "_tot", "_head_total", "_tail_total")
+    return per_chunk.groupBy(*BASE_KEYS, "_chunk").agg(F.collect_list(packed).alias("_fix"))

@@ -55,6 +55,11 @@ PARAMS = {
     # Hot-key threshold of the *_hot_keys queries: every account-day with more
     # rows than this is split into time chunks.
     "small_hot_key_rows": 4,
+    # Shared-account variant of the test data: users whose id is a multiple
+    # of 3 share one account, which then holds about a third of all rows; its
+    # account-days exceed the hot-key threshold and are split into chunks.
+    "shared_every": 3,
+    "shared_hot_key_rows": 25,
 }
 
 ROUNDED = {"island_seconds", "watch_time_start", "watch_time_carry", "final_watch_time", "watch_time"}
@@ -71,8 +76,8 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
-def _inputs(spark: SparkSession, sf_dir: str):
-    return fixture_tables(spark, sf_dir)
+def _inputs(spark: SparkSession, sf_dir: str, shared_every: int | None = None):
+    return fixture_tables(spark, sf_dir, shared_every)
 
 
 def _period():
@@ -83,8 +88,8 @@ def _rules(name: str):
     return rule_set(name).with_details_page(PARAMS["details_page"])
 
 
-def _attribution(spark, sf_dir, name, **kw) -> DataFrame:
-    clicks, videos = _inputs(spark, sf_dir)
+def _attribution(spark, sf_dir, name, shared_every=None, **kw) -> DataFrame:
+    clicks, videos = _inputs(spark, sf_dir, shared_every)
     return build_attribution(
         clicks,
         videos,
@@ -391,6 +396,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "attribution_r1_hot_keys": _attribution_q("R1", hot_key_rows=PARAMS["small_hot_key_rows"]),
     "attribution_r3_hot_keys": _attribution_q("R3", hot_key_rows=PARAMS["small_hot_key_rows"]),
     "attribution_r4_hot_keys": _attribution_q("R4", hot_key_rows=PARAMS["small_hot_key_rows"]),
+    "attribution_r4_shared_account": _attribution_q(
+        "R4", shared_every=PARAMS["shared_every"], hot_key_rows=PARAMS["shared_hot_key_rows"]
+    ),
+    "attribution_r3_shared_account": _attribution_q(
+        "R3", shared_every=PARAMS["shared_every"], hot_key_rows=PARAMS["shared_hot_key_rows"]
+    ),
     "watch_time_parts": watch_time_parts,
     "first_starts": first_starts,
     "return_viewers": return_viewers,

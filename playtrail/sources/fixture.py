@@ -27,8 +27,22 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def _account() -> Column:
-    return F.floor(F.col("user_id") / 5).cast("string")
+def _pool(shared_every: int | None) -> Column:
+    """Account number: five users per account; with ``shared_every`` set,
+    every user whose id is a multiple of it shares account ``-1`` instead
+    (one hot account holding about 1/shared_every of all rows)."""
+    pooled = F.floor(F.col("user_id") / 5)
+    if shared_every is None:
+        return pooled
+    return F.when(F.col("user_id") % shared_every == 0, F.lit(-1).cast("bigint")).otherwise(pooled)
+
+
+def _account(acct: Column) -> Column:
+    return F.when(acct == -1, F.lit("shared")).otherwise(acct.cast("string"))
+
+
+def _device_key(acct: Column) -> Column:
+    return F.when(acct == -1, F.lit(0)).otherwise(acct % 4)
 
 
 def _show(k: Column) -> Column:
@@ -36,11 +50,14 @@ def _show(k: Column) -> Column:
     return F.concat(F.when(k % 5 == 0, F.lit("Show: ")).otherwise(F.lit("Show ")), (k % 5).cast("string"))
 
 
-def events_as_clickstream(events: DataFrame, details_page: str = R4.details_page) -> DataFrame:
+def events_as_clickstream(
+    events: DataFrame, details_page: str = R4.details_page, shared_every: int | None = None
+) -> DataFrame:
     k = _k()
     s = _show(k)
     eid = F.col("event_id")
-    acct = F.floor(F.col("user_id") / 5)
+    acct = _pool(shared_every)
+    dk = _device_key(acct)
     hit = F.convert_timezone(F.lit(C.NEW_YORK), F.lit("UTC"), F.col("ts").cast("timestamp_ntz"))
     details = C.first_match(
         [
@@ -57,7 +74,7 @@ def events_as_clickstream(events: DataFrame, details_page: str = R4.details_page
         F.lit("tile|display"),
     )
     return events.where(F.col("event_type").isin(*CLICK_EVENTS)).select(
-        _account().alias("account_id"),
+        _account(acct).alias("account_id"),
         F.to_date("ts").alias("event_date"),
         hit.alias("revised_ts"),
         hit.alias("hit_ts"),
@@ -70,31 +87,32 @@ def events_as_clickstream(events: DataFrame, details_page: str = R4.details_page
         details.alias("click_details"),
         F.lit(None).cast("string").alias("platform"),
         C.first_match(
-            [(acct % 4 == 0, "PS4"), (acct % 4 == 1, "Xbox One"), (acct % 4 == 2, "Android TV")], F.lit("Xfinity")
+            [(dk == 0, "PS4"), (dk == 1, "Xbox One"), (dk == 2, "Android TV")], F.lit("Xfinity")
         ).alias("device"),
         F.when(eid % 10 == 7, F.lit("sle-binge|x")).alias("binge_source"),
     )
 
 
-def events_as_video_log(events: DataFrame) -> DataFrame:
+def events_as_video_log(events: DataFrame, shared_every: int | None = None) -> DataFrame:
     k = _k()
     s = _show(k)
     eid = F.col("event_id")
-    acct = F.floor(F.col("user_id") / 5)
+    acct = _pool(shared_every)
+    dk = _device_key(acct)
     even = eid % 2 == 0
     display = F.when((k % 5 == 4) & (eid % 7 == 0), F.lit("N/A")).otherwise(
         F.concat(s, F.when(eid % 13 == 0, F.lit(" Trailer")).otherwise(F.lit("")))
     )
     device = C.first_match(
         [
-            (acct % 4 == 0, F.lit("Playstation")),
-            (acct % 4 == 1, F.lit("Xbox")),
-            (acct % 4 == 2, F.when(even, F.lit("Google TV")).otherwise(F.lit("Android TV"))),
+            (dk == 0, F.lit("Playstation")),
+            (dk == 1, F.lit("Xbox")),
+            (dk == 2, F.when(even, F.lit("Google TV")).otherwise(F.lit("Android TV"))),
         ],
         F.when(even, F.lit("Xfinity X1")).otherwise(F.lit("Xfinity Flex")),
     )
     return events.where(F.col("event_type").isin(*VIDEO_EVENTS)).select(
-        _account().alias("account_id"),
+        _account(acct).alias("account_id"),
         F.to_date("ts").alias("event_date"),
         F.col("ts").cast("timestamp_ntz").alias("event_ts"),
         display.alias("display_name"),
@@ -109,11 +127,11 @@ def events_as_video_log(events: DataFrame) -> DataFrame:
     )
 
 
-_WRITTEN: dict[tuple[str, str], tuple[str, str]] = {}
-_FRAMES: dict[tuple[int, str], tuple[DataFrame, DataFrame]] = {}
+_WRITTEN: dict[tuple, tuple[str, str]] = {}
+_FRAMES: dict[tuple, tuple[DataFrame, DataFrame]] = {}
 
 
-def fixture_tables(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def fixture_tables(spark, sf_dir: str, shared_every: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The projected clickstream and video log as Parquet tables.
 
     They are written once per session under the checkpoint folder, partitioned
@@ -123,16 +141,20 @@ def fixture_tables(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     from ..plans.guards import checkpoint_dir
     from .readers import read_clickstream, read_table, read_video_log
 
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, shared_every)
     if key not in _WRITTEN:
-        base = f"{checkpoint_dir(spark).rstrip('/')}/fixture-{abs(hash(sf_dir)) % 10**12}"
+        base = f"{checkpoint_dir(spark).rstrip('/')}/fixture-{abs(hash(key)) % 10**12}"
         events = read_table(spark, sf_dir, "events")
         paths = (f"{base}/clickstream", f"{base}/video_log")
-        for path, table in zip(paths, (events_as_clickstream(events), events_as_video_log(events))):
+        tables = (
+            events_as_clickstream(events, shared_every=shared_every),
+            events_as_video_log(events, shared_every=shared_every),
+        )
+        for path, table in zip(paths, tables):
             table.repartitionByRange("event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
         _WRITTEN[key] = paths
     # Listed once per session; every query scans the same two tables.
-    frames_key = (id(spark), sf_dir)
+    frames_key = (id(spark), sf_dir, shared_every)
     if frames_key not in _FRAMES:
         clicks_path, videos_path = _WRITTEN[key]
         _FRAMES[frames_key] = (read_clickstream(spark, clicks_path), read_video_log(spark, videos_path))
