@@ -170,7 +170,7 @@ def keep_popular(df: DataFrame, popular: DataFrame, max_broadcast_rows: int = DE
     The popular list is bounded by the catalogue; when its checked size
     allows it is broadcast, which keeps the timeline's partitioning.
     """
-    side, _ = bounded_broadcast(popular.select("event_date", "title"), max_broadcast_rows)
+    side, _ = bounded_broadcast(popular.select("event_date", "title"), max_broadcast_rows, materialize_first=True)
     return df.join(side, ["event_date", "title"], "left_semi")
 
 

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, materialize
 
 # Row order inside a partition. The original orders by time only; ties are
 # broken by these columns so LAG/LEAD are deterministic.
@@ -88,9 +88,13 @@ def assign_chunks(
     """
     if hot_keys is None:
         return timeline, Layout(chunked=False)
-    side, n_hot = bounded_broadcast(hot_keys, max_broadcast_rows)
+    n_hot = hot_keys.count()
     if n_hot == 0:
         return timeline, Layout(chunked=False)
+    # Only when there are hot keys is the (small) list written and joined.
+    side = materialize(hot_keys)
+    if n_hot <= max_broadcast_rows:
+        side = F.broadcast(side)
     span = _micros_between(F.col("_t0"), F.col("_t1")) + 1
     width = F.greatest(F.ceil(span * F.col("_target") / F.col("_n")), F.lit(1))
     chunk = F.when(F.col("_n").isNotNull(), F.floor(_micros_between(F.col("_t0"), F.col("event_ts")) / width))

@@ -2,15 +2,17 @@
 
 A side is broadcast only after its row count has been checked against a
 bound; past the bound the caller gets the DataFrame back and Spark plans a
-shuffle join instead. The checked table is first written to the cluster's
-checkpoint folder (a reliable checkpoint: it survives executor loss), so the
-count and the join read the same files instead of recomputing them. Cached
-tables are avoided on purpose: every cached plan is matched against every
-later query's plan, which slows planning down in long sessions.
+shuffle join instead. Tables that are expensive to recompute are first
+written to the cluster's checkpoint folder (they survive executor loss), so
+the count and the join read the same files. Cached tables are avoided on
+purpose: every cached plan is matched against every later query's plan,
+which slows planning down in long sessions.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,15 +38,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Write a small derived table to the checkpoint folder and read it back.
 
-    Reliable checkpoints survive executor loss (unlike local checkpoints).
+    The written table cuts the lineage and survives executor loss (unlike a
+    local checkpoint); it is computed once, and the read-back table carries
+    its real size for the planner. (``DataFrame.checkpoint`` would compute it
+    twice: once to count, once to write.)
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/guard-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
 
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, materialize_first: bool = False
+) -> tuple[DataFrame, int]:
+    """Return ``(side, rows)``: ``side`` is broadcast only if ``rows <= max_rows``.
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """Return ``(side, rows)``: ``side`` is broadcast only if ``rows <= max_rows``."""
-    df = materialize(df)
+    With ``materialize_first`` the table is written once and both the count
+    and the join read it; use it when recomputing the table would mean
+    scanning a whole period again. Otherwise the count is one job and the
+    broadcast stage recomputes the (cheap) table.
+    """
+    if materialize_first:
+        df = materialize(df)
     rows = df.count()
     if rows <= max_rows:
         return F.broadcast(df), rows

@@ -16,6 +16,8 @@ JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Checkpointed guard tables are removed once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

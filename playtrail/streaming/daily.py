@@ -14,6 +14,7 @@ progress is kept in a checkpoint folder on shared storage.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,9 @@ def refresh_new_days(
     """
     r = rule_set(rules)
     if progress_path is None:
-        progress_path = f"{checkpoint_dir(spark).rstrip('/')}/refresh-{abs(hash((video_log_path, table_path)))}"
+        # Stable across runs, so a later run resumes where the last one stopped.
+        digest = hashlib.sha1(f"{video_log_path}|{table_path}".encode()).hexdigest()[:16]
+        progress_path = f"{checkpoint_dir(spark).rstrip('/')}/refresh-{digest}"
     schema = spark.read.parquet(video_log_path).schema
     days_stream = spark.readStream.schema(schema).parquet(video_log_path).select("event_date")
 
