@@ -35,6 +35,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The configured shared folder itself (``spark.checkpoint.dir``), stable
+    across runs; the context's checkpoint folder adds a per-run subfolder."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return configured or checkpoint_dir(spark)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a small derived table to the checkpoint folder and read it back.
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import RuleSet, rule_set
 from ..operators.maintenance import reload_day
-from ..plans.guards import checkpoint_dir
+from ..plans.guards import shared_dir
 
 
 def refresh_new_days(
@@ -46,7 +46,7 @@ def refresh_new_days(
     if progress_path is None:
         # Stable across runs, so a later run resumes where the last one stopped.
         digest = hashlib.sha1(f"{video_log_path}|{table_path}".encode()).hexdigest()[:16]
-        progress_path = f"{checkpoint_dir(spark).rstrip('/')}/refresh-{digest}"
+        progress_path = f"{shared_dir(spark).rstrip('/')}/refresh-{digest}"
     schema = spark.read.parquet(video_log_path).schema
     days_stream = spark.readStream.schema(schema).parquet(video_log_path).select("event_date")
 
