@@ -6,9 +6,11 @@ so it stays inside whole-stage codegen; none of them needs a UDF.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterable, Sequence
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,6 +59,31 @@ NEW_YORK = "America/New_York"
 # ---------------------------------------------------------------------------
 
 
+def reusable(fn):
+    """Build a Column expression once per Spark context and reuse it.
+
+    Column expressions are unresolved, immutable trees, so one instance can
+    appear in many plans; building the large ones (rule ladders, title
+    extraction) costs hundreds of calls into the JVM each time. Only calls
+    whose arguments are all hashable (names, rule sets) are cached.
+    """
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        sc = SparkContext._active_spark_context
+        try:
+            key = (sc.applicationId if sc is not None else None, args, tuple(sorted(kwargs.items())))
+            hash(key)
+        except TypeError:
+            return fn(*args, **kwargs)
+        if key not in cache:
+            cache[key] = fn(*args, **kwargs)
+        return cache[key]
+
+    return wrapper
+
+
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -79,11 +106,13 @@ def in_range(c: str | Column, lo, hi) -> Column:
     return col(c).between(F.lit(lo), F.lit(hi))
 
 
+@reusable
 def normalize_title(c: str | Column) -> Column:
     """Lower-case and drop ``: , . & ' !`` so titles compare equal."""
     return F.regexp_replace(F.lower(col(c)), TITLE_PUNCTUATION, "")
 
 
+@reusable
 def normalize_click_device(device: str | Column) -> Column:
     """Device names of the clickstream.
 
@@ -94,6 +123,7 @@ def normalize_click_device(device: str | Column) -> Column:
     return first_match([(d.like("%xbox%"), "xbox"), (d == "ps4", "playstation")], d)
 
 
+@reusable
 def normalize_video_device(device: str | Column) -> Column:
     """D3: device names of the video log (Xfinity and Google TV families)."""
     d = F.lower(col(device))
@@ -126,6 +156,7 @@ def extract_or_null(c: Column, pattern: str, group: int = 1) -> Column:
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
 
 
+@reusable
 def extract_click_title(player_event: str | Column, details: str | Column, details_page: str) -> Column:
     """Title named by a click.
 
@@ -147,6 +178,7 @@ def extract_click_title(player_event: str | Column, details: str | Column, detai
     return first_match(rules)
 
 
+@reusable
 def is_linear_channel(display_name: str | Column, names: Iterable[str] = LINEAR_CHANNEL_NAMES) -> Column:
     """Display names that are linear channels rather than series."""
     dn = col(display_name)
@@ -164,12 +196,14 @@ def is_linear_channel(display_name: str | Column, names: Iterable[str] = LINEAR_
     return cond
 
 
+@reusable
 def video_title(display_name: str | Column, program: str | Column) -> Column:
     """Lower-cased display name, or the program when it is ``n/a``."""
     dn = F.lower(col(display_name))
     return F.when(dn == "n/a", F.lower(col(program))).otherwise(dn)
 
 
+@reusable
 def video_action(display_name: str | Column) -> Column:
     """Trailers start manually; everything else is a plain video end."""
     return F.when(F.lower(col(display_name)).like("%trailer%"), MANUAL).otherwise(VIDEO_END)

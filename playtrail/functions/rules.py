@@ -60,6 +60,11 @@ def _classify_r1(details: Column, player_event: Column, binge_type: Column) -> l
 _CLASSIFIERS = {"r1": _classify_r1, "r2": _classify_r2, "r4": _classify_r4}
 
 
+@C.reusable
+def _classify_named(classifier: str, details: str, player_event: str, binge_type: str) -> Column:
+    return C.first_match(_CLASSIFIERS[classifier](F.col(details), F.col(player_event), F.col(binge_type)))
+
+
 @dataclass(frozen=True)
 class RuleSet:
     name: str
@@ -93,6 +98,10 @@ class RuleSet:
     def classify(self, details: Column, player_event: Column, binge_type: Column) -> Column:
         return C.first_match(_CLASSIFIERS[self.classifier](details, player_event, binge_type))
 
+    def classify_columns(self, details: str, player_event: str, binge_type: str) -> Column:
+        """``classify`` on named columns, built once per Spark context."""
+        return _classify_named(self.classifier, details, player_event, binge_type)
+
     def with_details_page(self, prefix: str) -> "RuleSet":
         return replace(self, details_page=prefix)
 

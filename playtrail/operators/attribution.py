@@ -30,6 +30,7 @@ def _c(name: str) -> Column:
     return F.col(name)
 
 
+@C.reusable
 def start_label(rules: RuleSet | str) -> Column:
     """The rule ladder of a rule set (first true arm wins)."""
     r = rule_set(rules)
@@ -87,6 +88,7 @@ def start_label(rules: RuleSet | str) -> Column:
     )
 
 
+@C.reusable
 def watch_time_start() -> Column:
     """A start is credited its own seconds plus its island's."""
     feeder, title = _c("feeder_title"), _c("title")
@@ -94,6 +96,7 @@ def watch_time_start() -> Column:
     return F.when(C.blank_or_null(feeder) | (feeder != title), credited).otherwise(F.lit(0.0))
 
 
+@C.reusable
 def watch_time_carry() -> Column:
     """C11: an island that continues a title first seen on another device."""
     prev_feeder = _c("prev_feeder")
@@ -110,6 +113,7 @@ def corrected_start(start: Column) -> Column:
     return F.when(cond, F.lit(0.0)).otherwise(start)
 
 
+@C.reusable
 def single_watch_time() -> Column:
     """R1's one-column watch time."""
     feeder = _c("feeder_title")

@@ -97,7 +97,7 @@ def classify_clicks(clicks: DataFrame, rules: RuleSet | str, tz: str = C.NEW_YOR
     )
     return staged.select(
         "*",
-        r.classify(F.col("click_details"), F.col("player_event"), F.col("binge_type")).alias("action"),
+        r.classify_columns("click_details", "player_event", "binge_type").alias("action"),
         C.extract_click_title("player_event", "click_details", r.details_page).alias("raw_title"),
     )
 
