@@ -34,6 +34,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     for key, value in JOB_CONF.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # Small local data: let AQE keep one shuffle partition per core for the
+    # window stages instead of merging them into one or two (1 MB minimum).
+    builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     builder = builder.config("spark.driver.memory", os.environ.get("PLAYTRAIL_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
