@@ -232,10 +232,5 @@ def shift_seconds(ts: str | Column, seconds: int) -> Column:
     return F.timestamp_add("SECOND", F.lit(seconds), col(ts))
 
 
-def differs(a: str | Column, b: str | Column) -> Column:
-    """SQL ``a != b``: NULL when either side is NULL."""
-    return col(a) != col(b)
-
-
 def blank_or_null(c: str | Column) -> Column:
     return col(c).isNull() | (col(c) == "")

@@ -12,20 +12,6 @@ from .clicks import apply_series_map, build_series_map, click_times, prepare_cli
 from .sequence import DEFAULT_HOT_KEY_ROWS, hot_account_days, sequence_timeline
 from .videos import prepare_videos, video_times
 
-# Columns the sequence stage adds to the timeline.
-SEQUENCE_COLUMNS = (
-    "feeder_title",
-    "feeder_video_id",
-    "last_action",
-    "island",
-    "island_seconds",
-    "prev_title",
-    "prev_feeder",
-    "next_title",
-    "next_feeder",
-)
-
-
 def _c(name: str) -> Column:
     return F.col(name)
 

@@ -13,22 +13,6 @@ from ..functions import columns as C
 from ..functions.rules import RuleSet, rule_set
 from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
-TIMELINE_COLUMNS = (
-    "account_id",
-    "event_date",
-    "event_ts",
-    "player_event",
-    "click_details",
-    "binge_type",
-    "action",
-    "device",
-    "title",
-    "video_id",
-    "seconds_no_ads",
-    "is_video",
-)
-
-
 def _as_date(d) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
 
