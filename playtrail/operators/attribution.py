@@ -9,7 +9,7 @@ from ..functions import columns as C
 from ..functions.rules import RuleSet, rule_set
 from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 from .clicks import apply_series_map, build_series_map, click_times, prepare_clicks
-from .sequence import DEFAULT_HOT_KEY_ROWS, hot_account_days, sequence_timeline
+from .sequence import DEFAULT_HOT_KEY_ROWS, sequence_timeline
 from .videos import prepare_videos, video_times
 
 def _c(name: str) -> Column:
@@ -207,17 +207,17 @@ def sequenced(
         def between(df: DataFrame) -> DataFrame:
             return keep_popular(df, popular, max_broadcast_rows)
 
-    hot_keys = None
+    times = None
     if hot_key_rows is not None:
         times = click_times(clicks, r, from_date, to_date, tz).unionByName(
             video_times(videos, r, from_date, to_date)
         )
-        hot_keys = hot_account_days(times, hot_key_rows)
     return sequence_timeline(
         timeline,
         r.sequence_keys,
         between=between,
-        hot_keys=hot_keys,
+        times=times,
+        hot_key_rows=hot_key_rows,
         max_broadcast_rows=max_broadcast_rows,
     )
 

@@ -12,8 +12,8 @@ Hot keys
 --------
 A single account-day can be arbitrarily large (a shared or automated
 account). Keys with more than ``hot_key_rows`` rows are detected with one
-partial aggregation and split into time chunks of roughly ``hot_key_rows``
-rows each. Windows then run per chunk, and the few values that cross a
+partial aggregation and split into chunks of roughly ``hot_key_rows`` rows
+each, cut at second boundaries by a running count of rows per second. Windows then run per chunk, and the few values that cross a
 chunk border (the previous row's fields, the next row's fields, the running
 island number, island totals) are carried over by per-chunk summary tables:
 one row per chunk, with windows over at most "chunks per key" rows. The
@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, materialize
+from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 # Row order inside a partition. The original orders by time only; ties are
 # broken by these columns so LAG/LEAD are deterministic.
@@ -54,12 +54,8 @@ class Layout:
         return BASE_KEYS + (("_chunk",) if self.chunked else ())
 
 
-def _micros_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end)
-
-
 def hot_account_days(times: DataFrame, hot_key_rows: int) -> DataFrame:
-    """Account-days with more than ``hot_key_rows`` rows, with their time span.
+    """Account-days with more than ``hot_key_rows`` rows.
 
     ``times`` holds ``account_id, event_date, event_ts`` of the timeline rows
     (or of a superset of them). One partial aggregation: every task combines
@@ -68,40 +64,68 @@ def hot_account_days(times: DataFrame, hot_key_rows: int) -> DataFrame:
     return (
         times.where(F.col("event_date").isNotNull())
         .groupBy(*BASE_KEYS)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("event_ts").alias("_t0"), F.max("event_ts").alias("_t1"))
+        .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > hot_key_rows)
-        .select(*BASE_KEYS, "_n", "_t0", "_t1", F.lit(hot_key_rows).alias("_target"))
+    )
+
+
+def _second(ts: str) -> Column:
+    return F.date_trunc("second", F.col(ts))
+
+
+def chunk_slots(times: DataFrame, hot_keys: DataFrame, target_rows: int) -> DataFrame:
+    """For hot account-days: the chunk of every second that has rows.
+
+    Rows are counted per second; a running count over the seconds of one
+    key (a window over at most 86,400 rows) cuts them into chunks of about
+    ``target_rows`` rows, however bursty the key is. A chunk is a monotone
+    function of time, so equal timestamps share a chunk and chunk order is
+    row order; only a single second holding more than ``target_rows`` rows
+    stays one chunk.
+    """
+    per_second = (
+        times.join(hot_keys.select(*BASE_KEYS), list(BASE_KEYS))
+        .groupBy(*BASE_KEYS, _second("event_ts").alias("_second"))
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    before = F.sum("_c").over(
+        Window.partitionBy(*BASE_KEYS).orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return per_second.select(
+        *BASE_KEYS, "_second", F.floor(F.coalesce(before, F.lit(0)) / F.lit(target_rows)).cast("long").alias("_chunk")
     )
 
 
 def assign_chunks(
     timeline: DataFrame,
-    hot_keys: DataFrame | None,
+    times: DataFrame | None,
+    hot_key_rows: int | None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> tuple[DataFrame, Layout]:
-    """Tag rows of hot account-days with a time chunk.
+    """Tag rows of hot account-days with a chunk of about ``hot_key_rows`` rows.
 
-    Chunks are equal slices of the key's time span holding about
-    ``_target`` rows each on average. The chunk is a monotone function of
-    the timestamp, so equal timestamps share a chunk and chunk order is row
-    order. When there are no hot keys the timeline is returned untouched.
+    ``times`` must cover every timeline row's ``(account_id, event_date,
+    event_ts)``. When no key is hot the timeline is returned untouched.
     """
-    if hot_keys is None:
+    if times is None or hot_key_rows is None:
         return timeline, Layout(chunked=False)
-    n_hot = hot_keys.count()
-    if n_hot == 0:
+    hot = hot_account_days(times, hot_key_rows)
+    if hot.count() == 0:
         return timeline, Layout(chunked=False)
-    # Only when there are hot keys is the (small) list written and joined.
-    side = materialize(hot_keys)
-    if n_hot <= max_broadcast_rows:
-        side = F.broadcast(side)
-    span = _micros_between(F.col("_t0"), F.col("_t1")) + 1
-    width = F.greatest(F.ceil(span * F.col("_target") / F.col("_n")), F.lit(1))
-    chunk = F.when(F.col("_n").isNotNull(), F.floor(_micros_between(F.col("_t0"), F.col("event_ts")) / width))
-    tagged = timeline.join(side, list(BASE_KEYS), "left").select(
-        *timeline.columns,
-        F.col("_n").isNotNull().alias("_hot"),
-        F.coalesce(chunk, F.lit(0)).cast("long").alias("_chunk"),
+    # Only when there are hot keys: the key list and the per-second chunk
+    # table are written once (each is derived from a whole-period scan).
+    hot_side, n_hot = bounded_broadcast(hot, max_broadcast_rows, materialize_first=True)
+    slots, _ = bounded_broadcast(chunk_slots(times, hot_side, hot_key_rows), max_broadcast_rows, materialize_first=True)
+    tagged = timeline.join(
+        slots,
+        (timeline["account_id"] == slots["account_id"])
+        & (timeline["event_date"] == slots["event_date"])
+        & (_second("event_ts") == slots["_second"]),
+        "left",
+    ).select(
+        *[timeline[c] for c in timeline.columns],
+        slots["_chunk"].isNotNull().alias("_hot"),
+        F.coalesce(slots["_chunk"], F.lit(0)).cast("long").alias("_chunk"),
     )
     return tagged, Layout(chunked=True)
 
@@ -171,7 +195,8 @@ def sequence_timeline(
     keys: tuple[str, ...],
     *,
     between: Callable[[DataFrame], DataFrame] | None = None,
-    hot_keys: DataFrame | None = None,
+    times: DataFrame | None = None,
+    hot_key_rows: int | None = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Feeder, last action, island number and seconds, neighbours.
@@ -179,12 +204,13 @@ def sequence_timeline(
     ``keys`` are the sequence keys (``account_id, event_date[, device]``).
     ``between`` filters rows after the island numbers are set and before the
     island seconds are summed (the popular-title filter of R1).
-    ``hot_keys`` (from ``hot_account_days``) switches on chunking for them.
+    ``times`` (account, day and time of the rows, or of a superset) and
+    ``hot_key_rows`` switch on chunking of account-days above that size.
 
     Adds: ``feeder_title, feeder_video_id, last_action, island,
     island_seconds, prev_title, prev_feeder, next_title, next_feeder``.
     """
-    tagged, layout = assign_chunks(timeline, hot_keys, max_broadcast_rows)
+    tagged, layout = assign_chunks(timeline, times, hot_key_rows, max_broadcast_rows)
     t = tagged.repartition(*layout.partition_keys)
     t = add_feeder(t, layout)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from playtrail.functions.rules import R4
 from playtrail.operators.attribution import build_attribution, timeline_rows
 from playtrail.operators.clicks import click_times
-from playtrail.operators.sequence import assign_chunks, hot_account_days
+from playtrail.operators.sequence import assign_chunks
 from playtrail.operators.videos import video_times
 from playtrail.plans.catalog import PARAMS, rounded
 from playtrail.sources.fixture import fixture_tables
@@ -30,9 +30,8 @@ def test_shared_account_days_are_split(spark):
     times = click_times(clicks, R4, P["from_date"], P["to_date"]).unionByName(
         video_times(videos, R4, P["from_date"], P["to_date"])
     )
-    hot = hot_account_days(times, THRESHOLD)
     timeline = timeline_rows(clicks, videos, R4, **P)
-    tagged, layout = assign_chunks(timeline, hot)
+    tagged, layout = assign_chunks(timeline, times, THRESHOLD)
     assert layout.chunked
     sizes = tagged.where(F.col("_hot")).groupBy("account_id", "event_date", "_chunk").count()
     per_day = sizes.groupBy("account_id", "event_date").agg(
@@ -43,7 +42,8 @@ def test_shared_account_days_are_split(spark):
     for day in shared_days:
         assert day.chunks >= 2
         assert day.largest < day.rows
-        assert day.largest <= 3 * THRESHOLD
+        # Chunks are cut by a running row count: none is much over the target.
+        assert day.largest <= 2 * THRESHOLD
 
 
 def test_chunked_and_plain_plans_agree_on_the_shared_account(spark):
