@@ -13,6 +13,8 @@ the matching UTC instant, so converting it back gives ``ts`` again.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -127,6 +129,7 @@ def events_as_video_log(events: DataFrame, shared_every: int | None = None) -> D
     )
 
 
+_LOCK = threading.Lock()
 _WRITTEN: dict[tuple, tuple[str, str]] = {}
 _FRAMES: dict[tuple, tuple[DataFrame, DataFrame]] = {}
 
@@ -138,10 +141,15 @@ def fixture_tables(spark, sf_dir: str, shared_every: int | None = None) -> tuple
     by ``event_date`` as the production tables are, and then scanned like any
     other table (pushed filters, pruned columns, pruned partitions).
     """
+    key = (spark.sparkContext.applicationId, sf_dir, shared_every)
+    with _LOCK:
+        return _fixture_tables_locked(spark, sf_dir, shared_every, key)
+
+
+def _fixture_tables_locked(spark, sf_dir, shared_every, key):
     from ..plans.guards import checkpoint_dir
     from .readers import read_clickstream, read_table, read_video_log
 
-    key = (spark.sparkContext.applicationId, sf_dir, shared_every)
     if key not in _WRITTEN:
         base = f"{checkpoint_dir(spark).rstrip('/')}/fixture-{abs(hash(key)) % 10**12}"
         events = read_table(spark, sf_dir, "events")
