@@ -1,8 +1,8 @@
 """Table maintenance on day-partitioned Parquet tables.
 
-The attribution table is stored ``partitionBy("event_date")``. Writes go
-straight from the job's partitions (each task writes the days it holds), so
-no extra shuffle is added for writing.
+The attribution table is stored ``partitionBy("event_date")``; writes are
+rebalanced by day so files have a sensible size however many tasks built
+the rows.
 
 * ``reload_day`` recomputes one day into a staging folder first and only
   then replaces the day: a failed recompute leaves the old day in place, an
@@ -66,13 +66,15 @@ CLUSTER_ORDER = ("account_id", "device", "event_ts")
 def save_table(df: DataFrame, path: str, partition: str = "event_date", mode: str = "overwrite") -> None:
     """Create or replace a day-partitioned table.
 
-    Each task writes the days it holds; the local sort by day (which the
-    partitioned writer needs anyway) is extended to account, device and time
-    so files are clustered. There is no shuffle on the day column, which
-    would put a whole day into one task.
+    The job's rows are hash-partitioned by account, so every task holds
+    every day; written as is, each day would get one small file per task.
+    The ``rebalance`` hint lets AQE size the write tasks instead: it groups
+    rows by day, splits a large day over several tasks (so no day lands in
+    one task) and merges small ones. Inside each file rows are clustered by
+    account, device and time.
     """
     order = [partition] + [c for c in CLUSTER_ORDER if c in df.columns]
-    df.sortWithinPartitions(*order).write.mode(mode).partitionBy(partition).parquet(path)
+    df.hint("rebalance", partition).sortWithinPartitions(*order).write.mode(mode).partitionBy(partition).parquet(path)
 
 
 def day_path(path: str, day, partition: str = "event_date") -> str:
