@@ -16,7 +16,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# About 50-60 MB of short string pairs: the largest side worth copying to
+# every executor; bigger sides take a shuffle join.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

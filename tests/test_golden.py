@@ -2,6 +2,7 @@
 before R4's positive filter, for R4 and R3, on the plain and the chunked
 (hot-key) plan."""
 
+import datetime as dt
 from dataclasses import replace
 
 import pytest
@@ -61,8 +62,8 @@ R3_CHANGES = {
 CROSS_DEVICE = {"X1": {(0, 90), (1, 10), (2, 40)}, "X2": {(0, 0), (1, 10), (2, 40)}}
 
 
-def _run(spark, rules, hot_key_rows):
-    clicks, videos = build(spark, TIMELINES)
+def _run(spark, rules, hot_key_rows, start_time=dt.time(10, 0)):
+    clicks, videos = build(spark, TIMELINES, start_time=start_time)
     df = build_attribution(
         clicks,
         videos,
@@ -117,3 +118,8 @@ def test_cross_device_watch_time(results, timeline, hot):
 def test_plain_and_chunked_agree_everywhere(results):
     for name in ("R4", "R3"):
         assert results[(name, None)] == results[(name, 1)]
+
+
+def test_shifting_all_times_within_the_day_changes_nothing(spark, results):
+    shifted = _run(spark, R4, None, start_time=dt.time(17, 35, 12))
+    assert shifted == results[("R4", None)]

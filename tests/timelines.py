@@ -29,9 +29,15 @@ def _details(kind: str, title: str) -> str:
     raise ValueError(kind)
 
 
-def build(spark: SparkSession, timelines: dict[str, list[tuple]], day: dt.date = DAY, device: str = "Roku"):
+def build(
+    spark: SparkSession,
+    timelines: dict[str, list[tuple]],
+    day: dt.date = DAY,
+    device: str = "Roku",
+    start_time: dt.time = dt.time(10, 0),
+):
     clicks, videos = [], []
-    start = dt.datetime.combine(day, dt.time(10, 0))
+    start = dt.datetime.combine(day, start_time)
     for account, steps in timelines.items():
         for i, step in enumerate(steps):
             ts = start + dt.timedelta(minutes=5 * i)
