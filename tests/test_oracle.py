@@ -49,3 +49,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[0] == "account_id"
+
+
+@pytest.mark.parametrize("name", ["local_days", "attribution_r3", "attribution_r4_hot_keys"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    res = duck.sql(SQL[name])
+    assert _bag(rows, df.columns) == _bag(res.fetchall(), res.columns)
