@@ -120,7 +120,8 @@ def assign_chunks(
         slots,
         (timeline["account_id"] == slots["account_id"])
         & (timeline["event_date"] == slots["event_date"])
-        & (_second("event_ts") == slots["_second"]),
+        # Null-safe: rows without a time sort first and fall in chunk 0.
+        & _second("event_ts").eqNullSafe(slots["_second"]),
         "left",
     ).select(
         *[timeline[c] for c in timeline.columns],

@@ -98,3 +98,16 @@ def test_funnel_counts_a_return_viewer(spark):
     assert rows[A.AUTO_TO_REACHED].eligible_accounts is None
     assert returned.eligible_accounts == 2 and returned.take_rate == 0.5
     assert rows[A.WATCHED_SOURCE].eligible_accounts == 1 and rows[A.WATCHED_SOURCE].take_rate == 1.0
+
+
+def test_clicks_without_a_time_stay_with_their_hot_key(spark):
+    """R4 takes click times from a nullable column; such rows sort first and
+    must stay in the same window partition as the rest of a hot key."""
+    clicks = [click("h", at(DAY, 10, 2), "Series-Cue-Up||b|auto-play"), click("h", at(DAY, 10, 7), "Rail|a|click")]
+    clicks = [c[:2] + (None,) + c[3:] if i == 0 else c for i, c in enumerate(clicks)]
+    videos = [video("h", at(DAY, 10, i), t, float(10 + i), str(i)) for i, t in enumerate("aabbaab")]
+    cols = ["event_ts", "video_id", "last_action", "island", "island_seconds", "start_type", "final_watch_time"]
+    plain = run(spark, clicks, videos).select(*cols)
+    chunked = run(spark, clicks, videos, hot_key_rows=2).select(*cols)
+    assert plain.where(F.col("event_ts").isNull()).count() == 1
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, chunked.collect()))
