@@ -69,31 +69,43 @@ def hot_account_days(times: DataFrame, hot_key_rows: int) -> DataFrame:
     )
 
 
-def _second(ts: str) -> Column:
-    return F.date_trunc("second", F.col(ts))
+def _second(ts: str | Column) -> Column:
+    return F.date_trunc("second", F.col(ts) if isinstance(ts, str) else ts)
 
 
-def chunk_slots(times: DataFrame, hot_keys: DataFrame, target_rows: int) -> DataFrame:
-    """For hot account-days: the chunk of every second that has rows.
+def _hour(ts: str | Column) -> Column:
+    return F.date_trunc("hour", F.col(ts) if isinstance(ts, str) else ts)
+
+
+def chunk_hours(times: DataFrame, hot_keys: DataFrame, target_rows: int) -> DataFrame:
+    """For hot account-days: per hour, the chunk it starts in and the
+    seconds inside it where a new chunk starts.
 
     Rows are counted per second; a running count over the seconds of one
     key (a window over at most 86,400 rows) cuts them into chunks of about
     ``target_rows`` rows, however bursty the key is. A chunk is a monotone
     function of time, so equal timestamps share a chunk and chunk order is
     row order; only a single second holding more than ``target_rows`` rows
-    stays one chunk.
+    stays one chunk. The table keeps one row per hot key-hour (24 per day),
+    so it stays small enough to broadcast for many hot keys.
     """
     per_second = (
         times.join(hot_keys.select(*BASE_KEYS), list(BASE_KEYS))
         .groupBy(*BASE_KEYS, _second("event_ts").alias("_second"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    before = F.sum("_c").over(
-        Window.partitionBy(*BASE_KEYS).orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return per_second.select(
+    w = Window.partitionBy(*BASE_KEYS).orderBy("_second")
+    before = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    chunked = per_second.select(
         *BASE_KEYS, "_second", F.floor(F.coalesce(before, F.lit(0)) / F.lit(target_rows)).cast("long").alias("_chunk")
     )
+    prev = F.lag("_chunk").over(w)
+    starts = F.when(prev.isNull() | (prev != F.col("_chunk")), F.struct("_second", "_chunk"))
+    return (
+        chunked.select(*BASE_KEYS, "_second", "_chunk", starts.alias("_start"))
+        .groupBy(*BASE_KEYS, _hour("_second").alias("_hour"))
+        .agg(F.min("_chunk").alias("_base"), F.array_sort(F.collect_list("_start")).alias("_starts"))
+    )
 
 
 def assign_chunks(
@@ -112,21 +124,25 @@ def assign_chunks(
     hot = hot_account_days(times, hot_key_rows)
     if hot.count() == 0:
         return timeline, Layout(chunked=False)
-    # Only when there are hot keys: the key list and the per-second chunk
-    # table are written once (each is derived from a whole-period scan).
-    hot_side, n_hot = bounded_broadcast(hot, max_broadcast_rows, materialize_first=True)
-    slots, _ = bounded_broadcast(chunk_slots(times, hot_side, hot_key_rows), max_broadcast_rows, materialize_first=True)
-    tagged = timeline.join(
-        slots,
-        (timeline["account_id"] == slots["account_id"])
-        & (timeline["event_date"] == slots["event_date"])
+    # Only when there are hot keys: the key list and the hourly chunk table
+    # are written once (each is derived from a whole-period scan).
+    hot_side, _ = bounded_broadcast(hot, max_broadcast_rows, materialize_first=True)
+    hours, _ = bounded_broadcast(chunk_hours(times, hot_side, hot_key_rows), max_broadcast_rows, materialize_first=True)
+    joined = timeline.join(
+        hours,
+        (timeline["account_id"] == hours["account_id"])
+        & (timeline["event_date"] == hours["event_date"])
         # Null-safe: rows without a time sort first and fall in chunk 0.
-        & _second("event_ts").eqNullSafe(slots["_second"]),
+        & _hour("event_ts").eqNullSafe(hours["_hour"]),
         "left",
-    ).select(
+    )
+    second = _second(timeline["event_ts"])
+    started = F.filter(hours["_starts"], lambda st: st["_second"] <= second)
+    chunk = F.coalesce(F.try_element_at(started, F.lit(-1))["_chunk"], hours["_base"])
+    tagged = joined.select(
         *[timeline[c] for c in timeline.columns],
-        slots["_chunk"].isNotNull().alias("_hot"),
-        F.coalesce(slots["_chunk"], F.lit(0)).cast("long").alias("_chunk"),
+        hours["_base"].isNotNull().alias("_hot"),
+        F.coalesce(chunk, F.lit(0)).cast("long").alias("_chunk"),
     )
     return tagged, Layout(chunked=True)
 
