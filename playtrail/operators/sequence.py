@@ -13,12 +13,12 @@ Hot keys
 A single account-day can be arbitrarily large (a shared or automated
 account). Keys with more than ``hot_key_rows`` rows are detected with one
 partial aggregation and split into chunks of roughly ``hot_key_rows`` rows
-each, cut at second boundaries by a running count of rows per second. Windows then run per chunk, and the few values that cross a
-chunk border (the previous row's fields, the next row's fields, the running
-island number, island totals) are carried over by per-chunk summary tables:
-one row per chunk, with windows over at most "chunks per key" rows. The
-summaries cover hot keys only, so for ordinary data they are empty and the
-plan is the plain one.
+each, cut at second boundaries by a running count of rows per second.
+Windows then run per chunk, and the few values that cross a chunk border
+(the previous row's fields, the next row's fields, the running island
+number, island totals) are carried over by per-chunk summary tables: one
+row per chunk, with windows over at most "chunks per key" rows. Without hot
+keys none of this is planned and the plan is the plain one.
 """
 
 from __future__ import annotations

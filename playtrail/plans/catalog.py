@@ -53,7 +53,7 @@ PARAMS = {
     # Day replaced by the reload query.
     "reload_day": "2024-01-15",
     # Hot-key threshold of the *_hot_keys queries: every account-day with more
-    # rows than this is split into time chunks.
+    # rows than this is split into chunks.
     "small_hot_key_rows": 4,
     # Shared-account variant of the test data: users whose id is a multiple
     # of 3 share one account, which then holds about a third of all rows; its

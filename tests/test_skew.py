@@ -1,5 +1,5 @@
 """Hot keys: one shared account holds about a third of all rows; its days
-are split into time chunks of bounded size, and results do not change."""
+are split into chunks of bounded size, and results do not change."""
 
 from dataclasses import replace
 
