@@ -2,11 +2,12 @@
 
 Layout
 ------
-Clicks and videos are unioned first and the union is hash-partitioned once
-on ``(account_id, event_date[, _chunk])``. Every window afterwards is keyed
-by a superset of those columns (the feeder window adds ``is_video``, the
-sequence windows add ``device``), so Spark plans no further exchange of the
-timeline rows: each row is shuffled exactly once.
+Videos and clicks are each hash-partitioned once on ``(account_id,
+event_date[, _chunk])``; the feeder window runs on the videos alone, and the
+union of both sides keeps the partitioning. Every window afterwards is keyed
+by a superset of those columns (the sequence windows add ``device``), so
+Spark plans no further exchange of the timeline rows: each row is shuffled
+exactly once.
 
 Hot keys
 --------
@@ -169,14 +170,15 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return _all([left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def add_feeder(t: DataFrame, layout: Layout) -> DataFrame:
+def add_feeder(videos: DataFrame, layout: Layout) -> DataFrame:
     """Previous video (title, id) of the account-day on any device.
 
-    Clicks carry an empty feeder.
+    Runs on the video rows only (partitioned like the timeline), so the
+    clicks are not sorted for it.
     """
     ck = layout.window_keys
-    w = Window.partitionBy(*BASE_KEYS, *ck, "is_video").orderBy(*VIDEO_ORDER)
-    t = t.select(
+    w = Window.partitionBy(*BASE_KEYS, *ck).orderBy(*VIDEO_ORDER)
+    t = videos.select(
         "*",
         F.lag("title").over(w).alias("_lag_title"),
         F.lag("video_id").over(w).alias("_lag_vid"),
@@ -184,27 +186,20 @@ def add_feeder(t: DataFrame, layout: Layout) -> DataFrame:
     )
     if layout.chunked:
         last = F.max_by(F.struct("title", "video_id"), F.struct(*VIDEO_ORDER))
-        per_chunk = t.where(F.col("is_video") & F.col("_hot")).groupBy(*BASE_KEYS, "_chunk").agg(last.alias("_last"))
+        per_chunk = t.where(F.col("_hot")).groupBy(*BASE_KEYS, "_chunk").agg(last.alias("_last"))
         carry = per_chunk.select(
             *BASE_KEYS,
             "_chunk",
             F.lag("_last").over(Window.partitionBy(*BASE_KEYS).orderBy("_chunk")).alias("_carry"),
         ).where(F.col("_carry").isNotNull())
         t = t.join(carry.hint("shuffle_hash"), [*BASE_KEYS, "_chunk"], "left")
-        lag_title = F.when(F.col("_a_first") & F.col("_carry").isNotNull(), F.col("_carry.title")).otherwise(
-            F.col("_lag_title")
-        )
-        lag_vid = F.when(F.col("_a_first") & F.col("_carry").isNotNull(), F.col("_carry.video_id")).otherwise(
-            F.col("_lag_vid")
-        )
+        first = F.col("_a_first") & F.col("_carry").isNotNull()
+        lag_title = F.when(first, F.col("_carry.title")).otherwise(F.col("_lag_title"))
+        lag_vid = F.when(first, F.col("_carry.video_id")).otherwise(F.col("_lag_vid"))
     else:
         lag_title, lag_vid = F.col("_lag_title"), F.col("_lag_vid")
-    keep = [c for c in t.columns if c not in ("_lag_title", "_lag_vid", "_a_first", "_carry")]
-    return t.select(
-        *keep,
-        F.when(F.col("is_video"), lag_title).otherwise(F.lit("")).alias("feeder_title"),
-        F.when(F.col("is_video"), lag_vid).otherwise(F.lit("")).alias("feeder_video_id"),
-    )
+    keep = [c for c in videos.columns]
+    return t.select(*keep, lag_title.alias("feeder_title"), lag_vid.alias("feeder_video_id"))
 
 
 def sequence_timeline(
@@ -228,8 +223,15 @@ def sequence_timeline(
     island_seconds, prev_title, prev_feeder, next_title, next_feeder``.
     """
     tagged, layout = assign_chunks(timeline, times, hot_key_rows, max_broadcast_rows)
-    t = tagged.repartition(*layout.partition_keys)
-    t = add_feeder(t, layout)
+    # Videos and clicks are shuffled separately on the same keys; the union
+    # keeps that partitioning, so every row still moves once, and only the
+    # videos are sorted for the feeder window. (Filtering on the literal
+    # ``is_video`` prunes the other branch of the union.)
+    videos = tagged.where(F.col("is_video")).repartition(*layout.partition_keys)
+    clicks = tagged.where(~F.col("is_video")).repartition(*layout.partition_keys)
+    t = add_feeder(videos, layout).unionByName(
+        clicks.select("*", F.lit("").alias("feeder_title"), F.lit("").alias("feeder_video_id"))
+    )
 
     ck = layout.window_keys
     w = Window.partitionBy(*keys, *ck).orderBy(*TIMELINE_ORDER)

@@ -24,11 +24,14 @@ def test_timeline_rows_are_shuffled_once(spark):
     clicks, videos = fixture_tables(spark, SF_SMALL)
     text = plan(build_attribution(clicks, videos, R4, **P))
     # The cached series map prints its own (episode) exchanges; every
-    # exchange of timeline rows is keyed by account.
+    # exchange of timeline rows is keyed by account: one for the clicks and
+    # one for the videos, both below the union, none above it.
     hash_exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
     timeline_exchanges = [e for e in hash_exchanges if "account_id" in e]
-    assert len(timeline_exchanges) == 1, hash_exchanges
-    assert timeline_exchanges[0].startswith("account_id")
+    assert len(timeline_exchanges) == 2, hash_exchanges
+    assert all(e.startswith("account_id") for e in timeline_exchanges)
+    above_union = text[: text.index("Union")]
+    assert "Exchange" not in above_union
 
 
 def test_series_map_uses_a_group_limit(spark):
