@@ -548,6 +548,7 @@ GROUP BY 1, 2, 3"""),
         "attribution_r3": attribution_sql("R3"),
         "attribution_r4": attribution_sql("R4"),
         "attribution_r1_hot_keys": attribution_sql("R1"),
+        "attribution_r2_hot_keys": attribution_sql("R2"),
         "attribution_r3_hot_keys": attribution_sql("R3"),
         "attribution_r4_hot_keys": attribution_sql("R4"),
         "attribution_r4_shared_account": attribution_sql("R4", shared_every=PARAMS["shared_every"]),

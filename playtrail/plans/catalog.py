@@ -394,6 +394,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "attribution_r3": _attribution_q("R3"),
     "attribution_r4": _attribution_q("R4"),
     "attribution_r1_hot_keys": _attribution_q("R1", hot_key_rows=PARAMS["small_hot_key_rows"]),
+    "attribution_r2_hot_keys": _attribution_q("R2", hot_key_rows=PARAMS["small_hot_key_rows"]),
     "attribution_r3_hot_keys": _attribution_q("R3", hot_key_rows=PARAMS["small_hot_key_rows"]),
     "attribution_r4_hot_keys": _attribution_q("R4", hot_key_rows=PARAMS["small_hot_key_rows"]),
     "attribution_r4_shared_account": _attribution_q(
