@@ -221,8 +221,8 @@ def local_date(utc_ts: str | Column, tz: str = NEW_YORK) -> Column:
 
 def local_yesterday(tz: str = NEW_YORK) -> Column:
     """yesterday's date in ``tz`` (the daily job's default day)."""
-    now_utc = F.current_timestamp().cast("timestamp_ntz")  # session zone is UTC
-    return F.date_sub(F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(tz), now_utc)), 1)
+    # Without a source zone, the session zone is used: right for any session.
+    return F.date_sub(F.to_date(F.convert_timezone(None, F.lit(tz), F.current_timestamp())), 1)
 
 
 def shift_seconds(ts: str | Column, seconds: int) -> Column:

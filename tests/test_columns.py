@@ -87,3 +87,28 @@ def test_classifiers(spark, rules, details, expected):
     df = spark.createDataFrame([(details, "player", None)], "d string, p string, b string")
     got = df.select(rules.classify(F.col("d"), F.col("p"), F.col("b"))).first()[0]
     assert got == expected
+
+
+def test_local_yesterday_matches_new_york_calendar(spark):
+    from zoneinfo import ZoneInfo
+
+    from playtrail.plans.jobs import yesterday
+
+    expected = dt.datetime.now(ZoneInfo(C.NEW_YORK)).date() - dt.timedelta(days=1)
+    for zone in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = spark.range(1).select(C.local_yesterday().alias("d")).first().d
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == expected == yesterday()
+
+
+def test_presentation_order_follows_the_rule_set(spark):
+    from playtrail.functions.rules import R3
+    from playtrail.operators.attribution import presentation_order
+
+    rows = [("a", dt.date(2024, 1, 1), "d2", dt.datetime(2024, 1, 1, 9)), ("a", dt.date(2024, 1, 1), "d1", dt.datetime(2024, 1, 1, 10))]
+    df = spark.createDataFrame(rows, "account_id string, event_date date, device string, event_ts timestamp_ntz")
+    assert [r.device for r in presentation_order(df, R3).collect()] == ["d1", "d2"]  # account, day, device, time
+    assert [r.device for r in presentation_order(df, R2).collect()] == ["d2", "d1"]  # account, day, time
