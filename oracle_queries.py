@@ -3,8 +3,9 @@
 Each text starts from the raw ``events`` view, projects it onto the
 clickstream and the video log with the same fixed rules as
 ``playtrail.sources.fixture``, and computes the query with plain SQL windows
-over whole partitions (no chunking, no broadcast), so it shares no code with
-the Spark side. Computed doubles are rounded to 6 decimals on both sides.
+over whole partitions (no chunking, no broadcast). It shares only the query
+parameters (dates, titles, thresholds) with the Spark side, no logic.
+Computed doubles are rounded to 6 decimals on both sides.
 """
 
 from __future__ import annotations
