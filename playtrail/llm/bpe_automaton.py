@@ -48,7 +48,7 @@ from playtrail.llm.common import text_chunks
 # Fixed value: the byte-level split pattern of the vocabulary's family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_ARCS = 1_000_000
-MAX_PIECES = 300_000
+MAX_PIECES = 200_000
 
 # A space that isn't alone between two other characters: such texts are split by the pattern as a whole.
 UNEVEN = re.compile(r"^ | $| \s|\s ")

@@ -101,7 +101,7 @@ class Grammar:
         if found is None:
             weight = max([self.words.get(word, 0.0), *(self.stems.get(word[:n], 0.0) for n in STEMS if len(word) > n)])
             found = (INSULT, weight) if weight > 0 else self.plain.get(word, (OTHER, 0.0))
-            if len(self.seen) >= 200_000:
+            if len(self.seen) >= 100_000:
                 self.seen.clear()
             self.seen[word] = found
         return found
