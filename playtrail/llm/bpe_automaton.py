@@ -43,12 +43,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtrail.llm.common import text_chunks
+from playtrail.llm.common import Memory, text_chunks
 
 # Fixed value: the byte-level split pattern of the vocabulary's family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_ARCS = 1_000_000
-MAX_PIECES = 200_000
+MAX_PIECES = 250_000
 
 # A space that isn't alone between two other characters: such texts are split by the pattern as a whole.
 UNEVEN = re.compile(r"^ | $| \s|\s ")
@@ -175,48 +175,36 @@ class Codec:
         self.labels |= {i: s.encode() for s, i in self.special.items()}
         self.cut = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
         self.pattern = regex.compile(PATTERN)
-        self.pieces: dict[str, bytes] = {}  # looked-up texts between spaces, and words of the pattern
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(MAX_PIECES)  # words of the pattern, and texts between spaces
         self.arcs = [self.labels.get(i, b"") for i in range(max(self.labels) + 1)]
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a text as 4-byte integers."""
-        if piece.isalpha() or piece[1:].isalpha() and piece[0] == " ":  # one word of the pattern
-            return array("I", self.words.encode(piece.encode())).tobytes()
-        known, out = self.known, []
-        for word in self.pattern.findall(piece):
-            ids = known.get(word)
-            if ids is None:
-                ids = array("I", self.words.encode(word.encode())).tobytes()
-                if len(word) <= 64:
-                    if len(known) >= MAX_PIECES:
-                        known.clear()
-                    known[word] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self._word, self.pattern.findall(piece)))
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one match of the pattern."""
+        ids = self.known.young.get(word) or self.known.find(word)
+        if ids is None:
+            ids = array("I", self.words.encode(word.encode())).tobytes()
+            if len(word) <= 64:
+                self.known.put(word, ids)
+        return ids
 
     def _plain(self, text: str) -> list[bytes]:
         if UNEVEN.search(text):
             return [self._piece(text)]
-        pieces, first, *rest = self.pieces, *text.split(" ")
-        out = [self._looked_up(first)]
-        for p in rest:
-            p = " " + p
-            got = pieces.get(p)
-            out.append(self._looked_up(p) if got is None else got)
-        return out
+        get, new = self.known.young.get, self._looked_up
+        first, *rest = text.split(" ")
+        return [new(first), *[get(p) or new(p) for p in map(" ".__add__, rest)]]
 
     def _looked_up(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            got = self.known.get(piece)
-            if got is None:
-                got = self._piece(piece)
+        ids = self.known.find(piece)
+        if ids is None:
+            ids = self._piece(piece)
             if len(piece) <= 64:
-                if len(self.pieces) >= MAX_PIECES:
-                    self.pieces.clear()
-                self.pieces[piece] = got
-        return got
+                self.known.put(piece, ids)
+        return ids
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text."""

@@ -38,3 +38,23 @@ def text_chunks(
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+class Memory:
+    """Values by key in two generations of at most ``limit`` keys each: what was
+    asked for lately stays, and the rest goes when the younger one is full."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def find(self, key):
+        """The value of a key that isn't among the young, or None."""
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        self.young[key] = value

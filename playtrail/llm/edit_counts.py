@@ -30,12 +30,12 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtrail.llm.common import text_chunks
+from playtrail.llm.common import Memory, text_chunks
 
 # Fixed value: the split pattern of the vocabulary's family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAF = 64
-MAX_KNOWN = 300_000
+MAX_KNOWN = 250_000
 
 
 class Counter:
@@ -46,17 +46,15 @@ class Counter:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.encoding = tiktoken.Encoding("counts", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.pattern = regex.compile(PATTERN)
-        self.known: dict[str, int] = {}
+        self.known = Memory(MAX_KNOWN)
 
     def count(self, piece: str) -> int:
         """Tokens of one pre-token."""
-        n = self.known.get(piece)
+        n = self.known.young.get(piece) or self.known.find(piece)
         if n is None:
             n = len(self.encoding.encode_ordinary(piece))
             if len(piece) <= 64:
-                if len(self.known) >= MAX_KNOWN:
-                    self.known.clear()
-                self.known[piece] = n
+                self.known.put(piece, n)
         return n
 
 
@@ -86,7 +84,7 @@ class TokenTree:
             self._add(k)
 
     def _sum(self, k: int, leaf: list[str]) -> None:
-        get, count = self.own.known.get, self.own.count
+        get, count = self.own.known.young.get, self.own.count
         self.chars[self.size + k] = sum(map(len, leaf))
         self.tokens[self.size + k] = sum([get(p) or count(p) for p in leaf])
 
