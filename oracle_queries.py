@@ -581,6 +581,11 @@ ORDER BY a.event_date DESC"""),
         "pruned": w(attribution_body("R2"), "SELECT " + select_list(
             ["account_id", "event_date", "event_ts", "last_action", "start_type", "device", "feeder_title",
              "feeder_video_id", "title", "video_id", "seconds_no_ads", "final_watch_time"]) + " FROM labelled"),
-        "reloaded_day": attribution_sql("R3"),
+        # The reloaded day has its own map day; all others keep the period's.
+        "reloaded_day": f"""SELECT * FROM ({attribution_sql("R3")}) WHERE event_date <> DATE '{PARAMS['reload_day']}'
+UNION ALL
+SELECT * FROM ({attribution_sql("R3", PARAMS | {"map_date": PARAMS["reload_day"]})})
+WHERE event_date = DATE '{PARAMS['reload_day']}'""",
+        "replaced_table": attribution_sql("R2", PARAMS | {"to_date": PARAMS["week_end"]}),
     }
     return out

@@ -1,7 +1,9 @@
 """Command line for the end-to-end jobs.
 
     python -m playtrail attribution --clicks P --videos P --out P --rules R4 --from D --to D [--map-date D]
-    python -m playtrail reload      --clicks P --videos P --table P [--day D] [--rules R3]
+    python -m playtrail reload      --clicks P --videos P --table P [--day D] [--rules R3] [--map-date D]
+    python -m playtrail delete-day  --table P --day D
+    python -m playtrail prune       --table P
     python -m playtrail monitor     --attribution P --videos P --out P --from D --to D
     python -m playtrail funnel      --attribution P --videos P --source T --reached T --from D --to D
 
@@ -31,7 +33,7 @@ def main(argv=None) -> None:
     a.add_argument("--from", dest="from_date", required=True)
     a.add_argument("--to", dest="to_date", required=True)
     a.add_argument("--map-date")
-    a.add_argument("--details-page")
+    a.add_argument("--details-page", required=True, help="page-name prefix of the app's details pages")
 
     r = sub.add_parser("reload")
     r.add_argument("--clicks", required=True)
@@ -39,7 +41,15 @@ def main(argv=None) -> None:
     r.add_argument("--table", required=True)
     r.add_argument("--day")
     r.add_argument("--rules", default="R3")
-    r.add_argument("--details-page")
+    r.add_argument("--map-date")
+    r.add_argument("--details-page", required=True, help="page-name prefix of the app's details pages")
+
+    d = sub.add_parser("delete-day")
+    d.add_argument("--table", required=True)
+    d.add_argument("--day", required=True)
+
+    p = sub.add_parser("prune")
+    p.add_argument("--table", required=True)
 
     m = sub.add_parser("monitor")
     m.add_argument("--attribution", required=True)
@@ -69,9 +79,14 @@ def main(argv=None) -> None:
         )
     elif args.job == "reload":
         day = jobs.daily_reload_job(
-            spark, args.clicks, args.videos, args.table, args.day, args.rules, details_page=args.details_page
+            spark, args.clicks, args.videos, args.table, args.day, args.rules,
+            map_date=args.map_date, details_page=args.details_page,
         )
         print(f"reloaded {day}")
+    elif args.job == "delete-day":
+        jobs.delete_day_job(spark, args.table, args.day)
+    elif args.job == "prune":
+        jobs.prune_job(spark, args.table)
     elif args.job == "monitor":
         jobs.monitor_job(spark, args.attribution, args.videos, args.out, from_date=args.from_date, to_date=args.to_date)
     else:

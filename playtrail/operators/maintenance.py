@@ -4,9 +4,11 @@ The attribution table is stored ``partitionBy("event_date")``; writes are
 rebalanced by day so files have a sensible size however many tasks built
 the rows.
 
-* ``reload_day`` recomputes one day into a staging folder first and only
-  then replaces the day: a failed recompute leaves the old day in place, an
-  empty recompute removes it, and running it twice equals running it once.
+* ``save_table`` replaces a whole table whatever the session's overwrite mode:
+  the new table is written beside the old one, then the folders are swapped.
+* ``reload_day`` recomputes one day into a staging folder first and then
+  commits it over the old partition: a recompute that fails leaves the old
+  day in place, an empty one removes it, and twice equals once.
 * ``prune_table`` never overwrites the path it reads: it writes a new copy
   and swaps folders, because overwriting a path that is also being read
   deletes the input before it is read.
@@ -74,7 +76,13 @@ def save_table(df: DataFrame, path: str, partition: str = "event_date", mode: st
     account, device and time.
     """
     order = [partition] + [c for c in CLUSTER_ORDER if c in df.columns]
-    df.hint("rebalance", partition).sortWithinPartitions(*order).write.mode(mode).partitionBy(partition).parquet(path)
+    writer = df.hint("rebalance", partition).sortWithinPartitions(*order).write.partitionBy(partition)
+    if mode == "overwrite" and path_exists(df.sparkSession, path):
+        new_path = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+        writer.parquet(new_path)
+        swap_table(df.sparkSession, new_path, path)
+    else:
+        writer.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
 
 
 def day_path(path: str, day, partition: str = "event_date") -> str:
@@ -91,15 +99,17 @@ def replace_day(df: DataFrame, path: str, day, partition: str = "event_date") ->
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     rows = df.where(F.col(partition) == F.lit(str(day)).cast("date"))
-    save_table(rows, staging, partition)
-    delete_day(spark, path, day, partition)
-    staged_day = day_path(staging, day, partition)
-    if path_exists(spark, staged_day):
-        if not path_exists(spark, path):
-            fs, p = _fs(spark, path)
-            fs.mkdirs(p)
-        _rename(spark, staged_day, day_path(path, day, partition))
-    _delete(spark, staging)
+    try:
+        save_table(rows, staging, partition)
+        if path_exists(spark, day_path(staging, day, partition)):
+            # The writer's commit replaces the day's folder; until then the old day stands.
+            staged = spark.read.schema(rows.schema).parquet(staging)
+            writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(partition).parquet(path)
+        else:
+            delete_day(spark, path, day, partition)
+    finally:
+        _delete(spark, staging)
 
 
 def reload_day(
@@ -113,13 +123,17 @@ def reload_day(
 ) -> None:
     """Recompute ``day`` with a rule set and put it in place.
 
-    ``map_date`` defaults to the day before ``day``, as in the daily job.
+    ``map_date`` defaults to ``day`` itself: the reloaded day is the last
+    finished one, and its map is built from the same day's log. Where a rule
+    set takes a click's day from upstream, its clicks may have been hit a day
+    earlier or later; these are read too, so the day equals that of a longer build.
     """
     r = rule_set(rules)
     day = day if isinstance(day, dt.date) else dt.date.fromisoformat(str(day))
-    if map_date is None:
-        map_date = day - dt.timedelta(days=1)
-    recomputed = build_attribution(clicks, videos, r, from_date=day, to_date=day, map_date=map_date, **build_kwargs)
+    around = dt.timedelta(days=1 if r.click_day_from_upstream else 0)
+    recomputed = build_attribution(
+        clicks, videos, r, from_date=day - around, to_date=day + around, map_date=map_date or day, **build_kwargs
+    )
     replace_day(recomputed, path, day)
 
 
@@ -131,9 +145,15 @@ def prune_columns(df: DataFrame, columns=WORKING_COLUMNS) -> DataFrame:
 def swap_table(spark: SparkSession, new_path: str, path: str) -> None:
     """Make ``new_path`` the table at ``path``; the old copy is removed last."""
     old = f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
-    if path_exists(spark, path):
+    replaced = path_exists(spark, path)
+    if replaced:
         _rename(spark, path, old)
-    _rename(spark, new_path, path)
+    try:
+        _rename(spark, new_path, path)
+    except Exception:
+        if replaced:
+            _rename(spark, old, path)
+        raise
     _delete(spark, old)
 
 

@@ -52,6 +52,10 @@ PARAMS = {
     "reached_title": "show 2",
     # Day replaced by the reload query.
     "reload_day": "2024-01-15",
+    # A day outside the period, deleted by the reload query.
+    "stale_day": "2023-12-25",
+    # Last day of the table that replaces a month's.
+    "week_end": "2024-01-07",
     # Hot-key threshold of the *_hot_keys queries: every account-day with more
     # rows than this is split into chunks.
     "small_hot_key_rows": 4,
@@ -351,18 +355,35 @@ def pruned(spark, sf_dir):
     path = _scratch_table(spark, "attribution_r2")
     M.save_table(_attribution(spark, sf_dir, "R2"), path)
     M.prune_table(spark, path)
-    cols = [c for c in rule_set("R2").output_columns if c not in M.WORKING_COLUMNS]
-    return rounded(spark.read.parquet(path).select(*cols))
+    return rounded(spark.read.parquet(path))
 
 
 def reloaded_day(spark, sf_dir):
     clicks, videos = _inputs(spark, sf_dir)
     path = _scratch_table(spark, "attribution_r3")
-    M.save_table(_attribution(spark, sf_dir, "R3"), path)
-    M.reload_day(clicks, videos, path, PARAMS["reload_day"], _rules("R3"), map_date=PARAMS["map_date"])
+    # The day to reload starts out wrong, and another day is one too many.
+    built = _attribution(spark, sf_dir, "R3")
+    day = F.lit(PARAMS["reload_day"]).cast("date")
+    spoilt = built.withColumn("title", F.when(F.col("event_date") == day, F.lit("wrong")).otherwise(F.col("title")))
+    stale = built.where(F.col("event_date") == day).withColumn("event_date", F.lit(PARAMS["stale_day"]).cast("date"))
+    M.save_table(spoilt.unionByName(stale), path)
+    M.reload_day(clicks, videos, path, PARAMS["reload_day"], _rules("R3"))
+    M.delete_day(spark, path, PARAMS["stale_day"])
     return rounded(spark.read.parquet(path).select(*rule_set("R3").output_columns))
 
 
+def replaced_table(spark, sf_dir):
+    """A month's table replaced by its first week's, with no day left over."""
+    path = _scratch_table(spark, "attribution_r2")
+    M.save_table(_attribution(spark, sf_dir, "R2"), path)
+    clicks, videos = _inputs(spark, sf_dir)
+    week = build_attribution(
+        clicks, videos, _rules("R2"), from_date=PARAMS["from_date"], to_date=PARAMS["week_end"], map_date=PARAMS["map_date"]
+    )
+    M.save_table(week, path)
+    return rounded(spark.read.parquet(path).select(*rule_set("R2").output_columns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_titles": normalize_titles,
     "click_devices": click_devices,
@@ -411,4 +432,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coverage_monitor": coverage_monitor,
     "pruned": pruned,
     "reloaded_day": reloaded_day,
+    "replaced_table": replaced_table,
 }

@@ -2,6 +2,8 @@
 
 * ``attribution_job``  build a date range with a rule set and write the table
 * ``daily_reload_job`` recompute one day (default: yesterday in New York)
+* ``delete_day_job``   remove one day's rows
+* ``prune_job``        drop the working columns of a saved table
 * ``monitor_job``      write the daily coverage monitor table
 * ``funnel_job``       the two-title funnel as a small result DataFrame
 
@@ -65,21 +67,34 @@ def daily_reload_job(
     day=None,
     rules: RuleSet | str = "R3",
     *,
+    map_date=None,
     details_page: str | None = None,
     **build_kwargs,
 ) -> dt.date:
-    """Recompute one day of the table (default: yesterday); returns the day."""
+    """Recompute one day of the table (default: yesterday); returns the day.
+
+    ``map_date`` defaults to the reloaded day."""
     r = rule_set(rules)
     if details_page is not None:
         r = r.with_details_page(details_page)
     day = yesterday() if day is None else (day if isinstance(day, dt.date) else dt.date.fromisoformat(str(day)))
     M.reload_day(
         read_clickstream(spark, clickstream_path), read_video_log(spark, video_log_path), table_path, day, r,
-        **build_kwargs,
+        map_date=map_date, **build_kwargs,
     )
     return day
 
 
+def delete_day_job(spark: SparkSession, table_path: str, day) -> None:
+    """Remove one day from the table."""
+    M.delete_day(spark, table_path, dt.date.fromisoformat(str(day)))
+
+
+def prune_job(spark: SparkSession, table_path: str) -> None:
+    """Drop the working columns of the table."""
+    M.prune_table(spark, table_path)
+
+
 def monitor_job(
     spark: SparkSession, attribution_path: str, video_log_path: str, out_path: str, *, from_date, to_date
 ) -> None:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -16,7 +19,7 @@ JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Checkpointed guard tables are removed once nothing refers to them.
+    # RDD checkpoints go once nothing refers to them; tables written beside them stay.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -45,7 +48,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_local_checkpoint_dir(spark: SparkSession) -> None:
-    """Tests only: use a fresh scratch folder when no checkpoint folder is set."""
+    """Local sessions only: use a fresh scratch folder when no checkpoint folder is
+    set, and remove it when the program ends. On a cluster, a folder of the
+    driver's own machine would be invisible to the executors: that is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
@@ -53,4 +58,8 @@ def ensure_local_checkpoint_dir(spark: SparkSession) -> None:
     if configured:
         sc.setCheckpointDir(configured)
         return
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="playtrail-ckpt-", dir="/tmp"))
+    if not re.match(r"local($|\[)", sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder that every executor can reach")
+    scratch = tempfile.mkdtemp(prefix="playtrail-ckpt-")
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
+    sc.setCheckpointDir(scratch)

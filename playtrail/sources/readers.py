@@ -49,14 +49,12 @@ ATTRIBUTION_COLUMNS = {
 
 
 def conform(df: DataFrame, schema: dict[str, str]) -> DataFrame:
-    """Select and cast to a known column set (missing columns become NULL)."""
-    present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(name) if name in present else F.lit(None)).cast(dtype).alias(name)
-            for name, dtype in schema.items()
-        ]
-    )
+    """Select and cast to a known column set; a missing column is an error, as
+    NULLs in its place would drop rows without a word."""
+    missing = [name for name in schema if name not in df.columns]
+    if missing:
+        raise ValueError(f"the input lacks the columns {missing}; it has {df.columns}")
+    return df.select(*[F.col(name).cast(dtype).alias(name) for name, dtype in schema.items()])
 
 
 def read_clickstream(spark: SparkSession, path: str) -> DataFrame:

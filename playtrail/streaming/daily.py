@@ -2,13 +2,15 @@
 
 The original keeps its table fresh by hand: every morning it recomputes
 yesterday, and bad days are deleted and recomputed. Here the same job is a
-Structured Streaming query over the day-partitioned video log: the file
-source notices new files, each micro-batch names the days it touched (a
-handful of dates, the only thing that reaches the driver), and every such
-day is recomputed and replaced with ``reload_day`` (idempotent, so a retried
-micro-batch does no harm). ``trigger(availableNow=True)`` processes whatever
-has arrived and stops, which is how a daily scheduler runs it; the stream's
-progress is kept in a checkpoint folder on shared storage.
+Structured Streaming query over both inputs: the file sources notice new
+files of the video log and of the clickstream (late clicks refresh their day
+too), each micro-batch names the days it touched (a handful of dates, the
+only thing that reaches the driver), reads both inputs anew by path, so that
+it sees every file that has landed, and recomputes and replaces every such
+day with ``reload_day`` (idempotent, so a retried micro-batch does no harm).
+``trigger(availableNow=True)`` processes whatever has arrived and stops,
+which is how a daily scheduler runs it; the stream's progress is kept in a
+checkpoint folder on shared storage.
 """
 
 from __future__ import annotations
@@ -19,43 +21,49 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import local_date
 from ..functions.rules import RuleSet, rule_set
 from ..operators.maintenance import reload_day
 from ..plans.guards import shared_dir
+from ..sources.readers import read_clickstream, read_video_log
 
 
 def refresh_new_days(
     spark: SparkSession,
+    clickstream_path: str,
     video_log_path: str,
-    clicks: DataFrame,
-    videos: DataFrame,
     table_path: str,
     *,
     rules: RuleSet | str = "R3",
     progress_path: str | None = None,
-    map_lag_days: int = 1,
+    map_lag_days: int = 0,
     **build_kwargs,
 ):
-    """Recompute every day with new video-log files; returns the finished query.
+    """Recompute every day with new files in either input; returns the finished query.
 
-    ``clicks`` and ``videos`` are the batch inputs the days are recomputed
-    from (``videos`` normally reads ``video_log_path``). The series map of a
-    day is built from ``map_lag_days`` before it, as in the daily job.
+    The series map of a day is built from ``map_lag_days`` before it (0: the
+    day itself, as in the daily reload).
     """
     r = rule_set(rules)
     if progress_path is None:
         # Stable across runs, so a later run resumes where the last one stopped.
-        digest = hashlib.sha1(f"{video_log_path}|{table_path}".encode()).hexdigest()[:16]
+        digest = hashlib.sha1(f"{clickstream_path}|{video_log_path}|{table_path}".encode()).hexdigest()[:16]
         progress_path = f"{shared_dir(spark).rstrip('/')}/refresh-{digest}"
-    schema = spark.read.parquet(video_log_path).schema
-    days_stream = spark.readStream.schema(schema).parquet(video_log_path).select("event_date")
+
+    def landed(path: str) -> DataFrame:
+        return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+
+    click_day = F.col("event_date").cast("date") if r.click_day_from_upstream else local_date("hit_ts")
+    days_stream = landed(video_log_path).select(F.col("event_date").cast("date").alias("event_date")).unionByName(
+        landed(clickstream_path).select(click_day.alias("event_date"))
+    )
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         days = sorted(row.event_date for row in batch.where(F.col("event_date").isNotNull()).distinct().collect())
         for day in days:
             reload_day(
-                clicks,
-                videos,
+                read_clickstream(spark, clickstream_path),
+                read_video_log(spark, video_log_path),
                 table_path,
                 day,
                 r,

@@ -12,7 +12,7 @@ def test_cli_lists_the_jobs():
         [sys.executable, "-m", "playtrail", "--help"], cwd=ROOT, capture_output=True, text=True, timeout=120
     )
     assert out.returncode == 0
-    for job in ("attribution", "reload", "monitor", "funnel"):
+    for job in ("attribution", "reload", "delete-day", "prune", "monitor", "funnel"):
         assert job in out.stdout
 
 
