@@ -24,22 +24,19 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 import uuid
-from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtrail.llm.common import Memory, cut, text_chunks
+from playtrail.llm.common import cut, text_chunks
 
 # Fixed value: the split pattern of the vocabulary's family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -47,12 +44,10 @@ LENGTH = 1024
 SHARD_BYTES = 32 << 20
 KEY = "order-1"
 ROUNDS = 6
-MAX_PIECES = 300_000
-UNEVEN = re.compile(r"^ | $| \s|\s ")
 
 
 class Encoder:
-    """Ids of a text as 16-bit integers, pieces between single spaces looked up."""
+    """Ids of a text as 16-bit integers."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
@@ -61,32 +56,9 @@ class Encoder:
             raise ValueError("a 16-bit shard needs a vocabulary of fewer than 65,536 ids")
         self.encoding = tiktoken.Encoding("shards", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1  # the first free id ends a document
-        self.pattern = regex.compile(PATTERN)
-        self.known = Memory(MAX_PIECES)
-
-    def _word(self, word: str) -> bytes:
-        """Ids of one match of the pattern."""
-        ids = self.known.young.get(word) or self.known.find(word)
-        if ids is None:
-            ids = array("H", self.encoding.encode_ordinary(word)).tobytes()
-            if len(word) <= 64:
-                self.known.put(word, ids)
-        return ids
-
-    def _new(self, piece: str) -> bytes:
-        ids = self.known.find(piece)
-        if ids is None:
-            ids = b"".join(map(self._word, self.pattern.findall(piece)))
-            if len(piece) <= 64:
-                self.known.put(piece, ids)
-        return ids
 
     def encode(self, text: str) -> bytes:
-        if UNEVEN.search(text):
-            return array("H", self.encoding.encode_ordinary(text)).tobytes()
-        get, new = self.known.young.get, self._new
-        first, *rest = text.split(" ")
-        return b"".join([new(first), *[get(p) or new(p) for p in map(" ".__add__, rest)]])
+        return np.array(self.encoding.encode_ordinary(text), np.uint16).tobytes()
 
 
 @lru_cache(maxsize=2)
