@@ -212,7 +212,7 @@ def write_shards(
     made = docs.mapInArrow(
         sequences, "shard int, slot long, ordinal long, doc_id long, n_tokens int, ids binary"
     )
-    ranged = made.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
+    ranged = made.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")  # a task per shard
     return ranged.mapInArrow(
         write,
         "slot long, ordinal long, shard int, byte_offset long, doc_id long, n_tokens int, ids_sha256 string",
