@@ -28,12 +28,16 @@ def local_ts(x: str) -> str:
 
 
 ORDER_TIMELINE = ", ".join(
-    f"{c} ASC NULLS FIRST" for c in ("event_ts", "video_id", "title", "action", "click_details", "player_event")
+    f"{c} ASC NULLS FIRST"
+    for c in ("event_ts", "video_id", "title", "action", "click_details", "player_event", "binge_type", "device",
+              "seconds_no_ads", "feeder_title", "feeder_video_id")
 )
 
 
 def inputs(p=PARAMS, shared_every=None) -> str:
     page = p["details_page"]
+    wide = p.get("wide", False)
+    keep, base = ("event_id, s, k, ", "_base") if wide else ("", "")
     pooled = "CAST(floor(user_id / 5) AS BIGINT)"
     acct = pooled if shared_every is None else f"CASE WHEN user_id % {shared_every} = 0 THEN -1 ELSE {pooled} END"
     return f"""
@@ -49,8 +53,8 @@ ev_s AS (
          CASE WHEN acct = -1 THEN 0 ELSE acct % 4 END AS dk
   FROM ev
 ),
-clickstream AS (
-  SELECT acct_name AS account_id,
+clickstream{base} AS (
+  SELECT {keep}acct_name AS account_id,
          CAST(ts AS DATE) AS event_date,
          timezone('UTC', timezone('{TZ}', ts)) AS revised_ts,
          timezone('UTC', timezone('{TZ}', ts)) AS hit_ts,
@@ -72,8 +76,8 @@ clickstream AS (
          CASE WHEN event_id % 10 = 7 THEN 'sle-binge|x' END AS binge_source
   FROM ev_s WHERE event_type IN ('click', 'signup', 'error')
 ),
-video_log AS (
-  SELECT acct_name AS account_id,
+video_log{base} AS (
+  SELECT {keep}acct_name AS account_id,
          CAST(ts AS DATE) AS event_date,
          ts AS event_ts,
          CASE WHEN k % 5 = 4 AND event_id % 7 = 0 THEN 'N/A'
@@ -89,6 +93,43 @@ video_log AS (
          value AS seconds_with_ads,
          event_id % 11 = 0 AS media_load
   FROM ev_s WHERE event_type IN ('view', 'purchase')
+){"," + wide_ctes(page) if wide else ""}"""
+
+
+def wide_ctes(page: str) -> str:
+    """The projection in which every arm of the rules is met."""
+    pg = q(page)
+    return f"""
+clickstream AS (
+  SELECT CASE WHEN j = 13 THEN NULL ELSE account_id END AS account_id,
+         CASE WHEN j IN (3, 11) THEN NULL ELSE event_date END AS event_date, revised_ts, hit_ts,
+         CASE j WHEN 5 THEN {pg} || 'upsell:' || ep WHEN 6 THEN {pg} || 'more-like-this:' || ep
+                WHEN 7 THEN {pg} || 'extras:' || ep WHEN 8 THEN {pg} || ep
+                WHEN 15 THEN {pg} || 'episodes:Poker Face' WHEN 16 THEN {pg} || 'episodes:Yellowstone'
+                WHEN 17 THEN {pg} || 'episodes:' || ep ELSE player_event END AS player_event,
+         CASE WHEN j = 1 THEN 'Series-cue-up||' || s || '|auto-play'
+              WHEN j = 2 THEN 'Programme-cue-up||' || s || '|auto-play'
+              WHEN j = 3 THEN 'Series-cue-up||' || s || '|click'
+              WHEN j = 4 THEN 'rail|' || s || '|click'
+              WHEN j IN (5, 6, 7, 8, 15, 16) THEN 'details|play|click'
+              WHEN j = 9 THEN 'Programme-Cue-Up||' || s || '|click'
+              WHEN j = 14 THEN NULL
+              WHEN j = 17 THEN 'deeplink|details' ELSE click_details END AS click_details,
+         platform, CASE WHEN j = 10 THEN NULL ELSE device END AS device, binge_source
+  FROM (SELECT *, (event_id // 10) % 20 AS j, 'Episode ' || CAST(k % 12 AS VARCHAR) || '!' AS ep FROM clickstream_base)
+),
+video_log AS (
+  SELECT CASE WHEN j = 15 THEN NULL ELSE account_id END AS account_id, event_date, event_ts,
+         CASE j WHEN 1 THEN 'NBC' WHEN 2 THEN 'Peacock TV' WHEN 3 THEN 'Local News (East)' WHEN 4 THEN 'KQED-DT'
+                WHEN 5 THEN 'Movies Premium' WHEN 6 THEN 'Kgwn2' WHEN 7 THEN 'WXYZ-A News' WHEN 8 THEN 'KXYZ-B News'
+                WHEN 13 THEN NULL ELSE display_name END AS display_name,
+         program,
+         CASE j WHEN 9 THEN 'Yellowstone' WHEN 10 THEN 'Poker Face' WHEN 11 THEN 'N/A' WHEN 12 THEN NULL
+                ELSE episode_title END AS episode_title,
+         CASE WHEN j = 17 THEN NULL ELSE content_channel END AS content_channel,
+         CASE WHEN j = 14 THEN NULL ELSE device END AS device, video_id,
+         CASE WHEN j = 16 THEN 0.0 ELSE seconds_no_ads END AS seconds_no_ads, seconds_with_ads, media_load
+  FROM (SELECT *, (event_id // 10) % 24 AS j FROM video_log_base)
 )"""
 
 
@@ -261,7 +302,8 @@ videos_ready AS (
          {norm('raw_title')} AS title, video_id, seconds_no_ads
   FROM videos_raw WHERE raw_title IS NOT NULL
   WINDOW wv AS (PARTITION BY account_id, event_date
-                ORDER BY event_ts ASC NULLS FIRST, video_id ASC NULLS FIRST, {norm('raw_title')} ASC NULLS FIRST)
+                ORDER BY event_ts ASC NULLS FIRST, video_id ASC NULLS FIRST, {norm('raw_title')} ASC NULLS FIRST,
+                         action ASC NULLS FIRST, device ASC NULLS FIRST, seconds_no_ads ASC NULLS FIRST)
 )"""
 
 
@@ -446,7 +488,7 @@ def period(p=PARAMS) -> str:
 TIMELINE_OUT = "account_id, event_date, event_ts, action, device, title, video_id, seconds_no_ads"
 
 
-def _click_classes(rs: str) -> str:
+def _click_classes(rs: str, p=PARAMS) -> str:
     r = RULES[rs]
     det = "lower(click_details)" if r["lower"] else "click_details"
     bt = "split_part(binge_source, '|', 1)" if r["binge"] else "CAST(NULL AS VARCHAR)"
@@ -455,7 +497,7 @@ def _click_classes(rs: str) -> str:
     disp = "'%display%'" if r["contains"] else "'%display'"
     cue = "AND lower(click_details) NOT LIKE '%episode%cue%up%'" if r["cue"] else ""
     return w(
-        inputs(),
+        inputs(p),
         f"""SELECT account_id, event_date, event_ts, click_details, {classify_sql(r['cls'])} AS action FROM (
   SELECT account_id, {day} AS event_date, {ts} AS event_ts, player_event, {det} AS click_details, {bt} AS binge_type
   FROM clickstream
@@ -498,8 +540,21 @@ stages AS (
 )"""
 
 
+def _returners(source: str, reached: str) -> str:
+    body = _funnel_ctes(PARAMS | {"source_title": source, "reached_title": reached})
+    return f"SELECT * FROM ({w(body, f'SELECT {q(source)} AS source, {q(reached)} AS reached, * FROM returners')})"
+
+
+FUNNEL_SELECT = f"""SELECT category, accounts, eligible_accounts,
+       {r2('accounts / NULLIF(eligible_accounts, 0)')} AS take_rate, hours_watched,
+       {r2('hours_watched / NULLIF(accounts, 0)')} AS hours_per_account
+FROM (SELECT *, lag(accounts) OVER (ORDER BY accounts DESC, category ASC) AS eligible_accounts FROM stages)"""
+
+
 def oracle() -> dict[str, str]:
     ins = inputs()
+    wide = PARAMS | {"wide": True}
+    wins = inputs(wide)
     R4 = "R4"
     out = {
         "normalize_titles": w(ins, f"SELECT video_id, display_name, {norm('display_name')} AS title_norm, "
@@ -561,10 +616,11 @@ GROUP BY 1, 2, 3"""),
                                           "FROM prompted UNION ALL SELECT account_id, 'manual', start, total_hours FROM manual"),
         "return_viewers": w(_funnel_ctes(), "SELECT * FROM returners"),
         "funnel_stages": w(_funnel_ctes(), "SELECT * FROM stages"),
-        "funnel": w(_funnel_ctes(), f"""SELECT category, accounts, eligible_accounts,
-       {r2('accounts / NULLIF(eligible_accounts, 0)')} AS take_rate, hours_watched,
-       {r2('hours_watched / NULLIF(accounts, 0)')} AS hours_per_account
-FROM (SELECT *, lag(accounts) OVER (ORDER BY accounts DESC, category ASC) AS eligible_accounts FROM stages)"""),
+        "funnel": w(_funnel_ctes(), FUNNEL_SELECT),
+        "funnel_returning": w(
+            _funnel_ctes(PARAMS | dict(zip(("source_title", "reached_title"), PARAMS["title_pairs"][1]))), FUNNEL_SELECT
+        ),
+        "return_viewers_pairs": "\nUNION ALL\n".join(_returners(*pair) for pair in PARAMS["title_pairs"]),
         "coverage_monitor": w(attribution_table_sql() + f""",
 attributed AS (
   SELECT event_date, count(DISTINCT account_id) AS accts, {r2('sum(final_watch_time) / 3600')} AS watched_hours
@@ -587,5 +643,23 @@ UNION ALL
 SELECT * FROM ({attribution_sql("R3", PARAMS | {"map_date": PARAMS["reload_day"]})})
 WHERE event_date = DATE '{PARAMS['reload_day']}'""",
         "replaced_table": attribution_sql("R2", PARAMS | {"to_date": PARAMS["week_end"]}),
+        "refreshed_days": "\nUNION ALL\n".join(
+            "SELECT * FROM (" + attribution_sql("R3", PARAMS | {"from_date": d, "to_date": d, "map_date": d}) + ")"
+            for d in PARAMS["refresh_days"]
+        ),
+        "attribution_r1_shuffle_joins": attribution_sql("R1"),
+        "attribution_r4_shuffle_joins": attribution_sql("R4"),
+        "click_classes_r1_all_arms": _click_classes("R1", wide),
+        "click_classes_r2_all_arms": _click_classes("R2", wide),
+        "click_classes_r4_all_arms": _click_classes("R4", wide),
+        "click_titles_all_arms": w(wins + "," + clicks_ctes(R4), "SELECT account_id, event_ts, player_event, "
+                                                                 "click_details, raw_title FROM classified"),
+        "linear_channels_flag_all_arms": w(wins, f"SELECT display_name, {linear_sql('display_name')} AS is_linear, "
+                                                 f"count(*) AS n FROM video_log GROUP BY 1, 2"),
+        "series_map_all_arms": w(wins + "," + clicks_ctes(R4) + "," + map_ctes(R4), "SELECT * FROM series_map"),
+        "series_map_r1_all_arms": w(wins + "," + clicks_ctes("R1") + "," + map_ctes("R1"), "SELECT * FROM series_map"),
+        "attribution_r4_all_arms_hot_keys": attribution_sql("R4", wide),
     }
+    for rules in RULES:
+        out[f"attribution_{rules.lower()}_all_arms"] = attribution_sql(rules, wide)
     return out

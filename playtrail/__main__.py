@@ -4,10 +4,11 @@
     python -m playtrail reload      --clicks P --videos P --table P [--day D] [--rules R3] [--map-date D]
     python -m playtrail delete-day  --table P --day D
     python -m playtrail prune       --table P
+    python -m playtrail ordered     --table P --out P [--rules R4]
     python -m playtrail monitor     --attribution P --videos P --out P --from D --to D
     python -m playtrail funnel      --attribution P --videos P --source T --reached T --from D --to D
 
-The session is taken from the environment (spark-submit); on a cluster
+P is a path or the name of a catalog table. The session is taken from the environment (spark-submit); on a cluster
 ``spark.checkpoint.dir`` must name shared storage.
 """
 
@@ -51,6 +52,11 @@ def main(argv=None) -> None:
     p = sub.add_parser("prune")
     p.add_argument("--table", required=True)
 
+    o = sub.add_parser("ordered")
+    o.add_argument("--table", required=True)
+    o.add_argument("--out", required=True)
+    o.add_argument("--rules", default="R4")
+
     m = sub.add_parser("monitor")
     m.add_argument("--attribution", required=True)
     m.add_argument("--videos", required=True)
@@ -87,6 +93,8 @@ def main(argv=None) -> None:
         jobs.delete_day_job(spark, args.table, args.day)
     elif args.job == "prune":
         jobs.prune_job(spark, args.table)
+    elif args.job == "ordered":
+        jobs.ordered_job(spark, args.table, args.out, args.rules)
     elif args.job == "monitor":
         jobs.monitor_job(spark, args.attribution, args.videos, args.out, from_date=args.from_date, to_date=args.to_date)
     else:

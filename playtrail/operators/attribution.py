@@ -130,11 +130,11 @@ def popular_titles(videos: DataFrame, from_date, to_date, min_accounts: int) ->
     counts = played.groupBy("event_date", C.video_title("display_name", "program").alias("raw_title")).agg(
         F.count_distinct("account_id").alias("accounts")
     )
-    popular = counts.where(_c("accounts") >= min_accounts).select(
+    popular = counts.where((_c("accounts") >= min_accounts) & _c("raw_title").isNotNull()).select(
         "event_date", C.normalize_title("raw_title").alias("title")
     )
     channels = linear_channels(videos, from_date, to_date)
-    # The channel list holds no NULLs, so NOT IN is an anti join here.
+    # Neither side holds NULLs, so NOT IN is an anti join here.
     return popular.join(
         channels,
         (popular["event_date"] == channels["event_date"]) & (popular["title"] == channels["channel"]),
@@ -154,14 +154,16 @@ def linear_channels(videos: DataFrame, from_date, to_date) -> DataFrame:
     )
 
 
-def keep_popular(df: DataFrame, popular: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Keep timeline rows whose title is popular on their day.
-
-    The popular list is bounded by the catalogue; when its checked size
-    allows it is broadcast, which keeps the timeline's partitioning.
-    """
+def popular_side(popular: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """The popular list, written once. It is bounded by the catalogue; when its
+    checked size allows it is broadcast, which keeps the timeline's partitioning."""
     side, _ = bounded_broadcast(popular.select("event_date", "title"), max_broadcast_rows, materialize_first=True)
-    return df.join(side, ["event_date", "title"], "left_semi")
+    return side
+
+
+def keep_popular(df: DataFrame, popular: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Keep timeline rows whose title is popular on their day."""
+    return df.join(popular_side(popular, max_broadcast_rows), ["event_date", "title"], "left_semi")
 
 
 def timeline_rows(
@@ -203,9 +205,10 @@ def sequenced(
     between = None
     if r.popular_filter:
         popular = popular_titles(videos, from_date, to_date, min_accounts)
+        side = popular_side(popular, max_broadcast_rows)
 
         def between(df: DataFrame) -> DataFrame:
-            return keep_popular(df, popular, max_broadcast_rows)
+            return df.join(side, ["event_date", "title"], "left_semi")
 
     times = None
     if hot_key_rows is not None:

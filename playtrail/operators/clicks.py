@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.rules import RuleSet, rule_set
 from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from ..sources.readers import HIT_DAY
+
 
 def _as_date(d) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
@@ -29,6 +31,17 @@ def coarse_utc_bound(column: str, from_date, to_date):
     return (c >= F.lit(lo.isoformat()).cast("timestamp_ntz")) & (c < F.lit(hi.isoformat()).cast("timestamp_ntz"))
 
 
+def _hit_in_period(clicks: DataFrame, from_date, to_date, tz: str):
+    """Hit on a local day of the period, with the bounds that reach the scan:
+    on the stored time, and on the day partitions where the table has them."""
+    lo, hi = _as_date(from_date), _as_date(to_date)
+    cond = coarse_utc_bound("hit_ts", lo, hi) & C.local_date("hit_ts", tz).between(F.lit(lo), F.lit(hi))
+    if HIT_DAY in clicks.columns:
+        day = dt.timedelta(days=1)
+        cond = cond & F.col(HIT_DAY).between(F.lit(lo - day), F.lit(hi + day))
+    return cond
+
+
 def clean_clicks(clicks: DataFrame, rules: RuleSet | str, from_date, to_date, tz: str = C.NEW_YORK) -> DataFrame:
     """S1 + P13: null guards, ``display`` and episode cue-up clicks, period."""
     r = rule_set(rules)
@@ -37,9 +50,7 @@ def clean_clicks(clicks: DataFrame, rules: RuleSet | str, from_date, to_date, tz
     cond = cond & ~(raw.like("%display%") if r.display_filter_contains else raw.like("%display"))
     if r.drop_episode_cue_up:
         cond = cond & ~F.lower(raw).like("%episode%cue%up%")
-    cond = cond & coarse_utc_bound("hit_ts", from_date, to_date)
-    cond = cond & C.local_date("hit_ts", tz).between(F.lit(str(from_date)).cast("date"), F.lit(str(to_date)).cast("date"))
-    return clicks.where(cond)
+    return clicks.where(cond & _hit_in_period(clicks, from_date, to_date, tz))
 
 
 def _click_day_ts(r: RuleSet, tz: str):
@@ -54,8 +65,7 @@ def click_times(clicks: DataFrame, rules: RuleSet | str, from_date, to_date, tz:
     details filters so the scan reads only the account and time columns."""
     r = rule_set(rules)
     day, ts = _click_day_ts(r, tz)
-    cond = F.col("account_id").isNotNull() & F.col("hit_ts").isNotNull() & coarse_utc_bound("hit_ts", from_date, to_date)
-    cond = cond & C.local_date("hit_ts", tz).between(F.lit(str(from_date)).cast("date"), F.lit(str(to_date)).cast("date"))
+    cond = F.col("account_id").isNotNull() & F.col("hit_ts").isNotNull() & _hit_in_period(clicks, from_date, to_date, tz)
     return clicks.where(cond).select("account_id", day.alias("event_date"), ts.alias("event_ts"))
 
 
@@ -152,7 +162,7 @@ def apply_series_map(
     The map is broadcast when its checked size allows, so the click side is
     not shuffled for this join.
     """
-    side, _ = bounded_broadcast(series_map, max_broadcast_rows)
+    side, _ = bounded_broadcast(series_map, max_broadcast_rows, materialize_first=True)
     m = side.select(F.col("episode").alias("_episode"), F.col("series").alias("_series"))
     joined = clicks.join(m, clicks["title"] == m["_episode"], "left")
     return joined.select(

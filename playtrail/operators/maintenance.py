@@ -12,6 +12,9 @@ the rows.
 * ``prune_table`` never overwrites the path it reads: it writes a new copy
   and swaps folders, because overwriting a path that is also being read
   deletes the input before it is read.
+
+A table is named by its path, or by its name in the session's catalog
+(``schema.table``); the same operations then go through the catalog.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import RuleSet, rule_set
+from ..plans.guards import materialize
+from ..sources.readers import is_table_name, scan
 from .attribution import build_attribution
 
 # Working columns the original drops from a saved table.
@@ -75,9 +80,14 @@ def save_table(df: DataFrame, path: str, partition: str = "event_date", mode: st
     one task) and merges small ones. Inside each file rows are clustered by
     account, device and time.
     """
+    if is_table_name(path):
+        # Built in full before the catalog drops the old table for the new one.
+        df = materialize(df)
     order = [partition] + [c for c in CLUSTER_ORDER if c in df.columns]
     writer = df.hint("rebalance", partition).sortWithinPartitions(*order).write.partitionBy(partition)
-    if mode == "overwrite" and path_exists(df.sparkSession, path):
+    if is_table_name(path):
+        writer.mode(mode).option("partitionOverwriteMode", "static").format("parquet").saveAsTable(path)
+    elif mode == "overwrite" and path_exists(df.sparkSession, path):
         new_path = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
         writer.parquet(new_path)
         swap_table(df.sparkSession, new_path, path)
@@ -90,13 +100,19 @@ def day_path(path: str, day, partition: str = "event_date") -> str:
 
 
 def delete_day(spark: SparkSession, path: str, day, partition: str = "event_date") -> None:
-    """Remove one day's rows (its partition folder)."""
+    """Remove one day's rows (its partition)."""
+    if is_table_name(path):
+        spark.sql(f"ALTER TABLE {path} DROP IF EXISTS PARTITION ({partition} = DATE'{day}')")
+        return
     _delete(spark, day_path(path, day, partition))
 
 
 def replace_day(df: DataFrame, path: str, day, partition: str = "event_date") -> None:
     """Write ``df``'s rows of ``day`` as the new content of that day."""
     spark = df.sparkSession
+    if is_table_name(path):
+        _replace_partition(df, path, day, partition)
+        return
     staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     rows = df.where(F.col(partition) == F.lit(str(day)).cast("date"))
     try:
@@ -112,6 +128,20 @@ def replace_day(df: DataFrame, path: str, day, partition: str = "event_date") ->
         _delete(spark, staging)
 
 
+def _replace_partition(df: DataFrame, table: str, day, partition: str) -> None:
+    """``replace_day`` of a catalog table: staged, then one static partition overwrite."""
+    spark = df.sparkSession
+    staged = materialize(df.where(F.col(partition) == F.lit(str(day)).cast("date")))
+    if staged.isEmpty():
+        delete_day(spark, table, day, partition)
+        return
+    columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != partition)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({partition} = DATE'{day}') SELECT {columns} FROM {{staged}}",
+        staged=staged,
+    )
+
+
 def reload_day(
     clicks: DataFrame,
     videos: DataFrame,
@@ -158,7 +188,12 @@ def swap_table(spark: SparkSession, new_path: str, path: str) -> None:
 
 
 def prune_table(spark: SparkSession, path: str, columns=WORKING_COLUMNS, partition: str = "event_date") -> None:
-    """Drop working columns from a saved table by writing a copy and swapping."""
+    """Drop working columns from a saved table by writing a copy and swapping
+    (a catalog table is replaced by its staged copy)."""
+    pruned = prune_columns(scan(spark, path), columns)
+    if is_table_name(path):
+        save_table(pruned, path, partition)
+        return
     new_path = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
-    save_table(prune_columns(spark.read.parquet(path), columns), new_path, partition)
+    save_table(pruned, new_path, partition)
     swap_table(spark, new_path, path)

@@ -18,8 +18,10 @@ each, cut at second boundaries by a running count of rows per second.
 Windows then run per chunk, and the few values that cross a chunk border
 (the previous row's fields, the next row's fields, the running island
 number, island totals) are carried over by per-chunk summary tables: one
-row per chunk, with windows over at most "chunks per key" rows. Without hot
-keys none of this is planned and the plan is the plain one.
+row per chunk, with windows over at most "chunks per key" rows. Only the rows
+of hot keys meet this plan: they are written once to the checkpoint folder and
+chunked there, all other rows take the plain plan, and both results are
+united. Without hot keys none of this is planned.
 """
 
 from __future__ import annotations
@@ -30,17 +32,33 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, materialize
 
 # Row order inside a partition. The original orders by time only; ties are
-# broken by these columns so LAG/LEAD are deterministic.
-VIDEO_ORDER = ("event_ts", "video_id", "title")
-TIMELINE_ORDER = ("event_ts", "video_id", "title", "action", "click_details", "player_event")
+# broken by all other columns a row has at that point, so LAG/LEAD never
+# depend on the order in which rows arrive.
+VIDEO_ORDER = ("event_ts", "video_id", "title", "action", "device", "seconds_no_ads")
+TIMELINE_ORDER = (
+    "event_ts",
+    "video_id",
+    "title",
+    "action",
+    "click_details",
+    "player_event",
+    "binge_type",
+    "device",
+    "seconds_no_ads",
+    "feeder_title",
+    "feeder_video_id",
+)
 
 BASE_KEYS = ("account_id", "event_date")
 
 DEFAULT_HOT_KEY_ROWS = 4_000_000
 
+# Stands for a NULL day among the hot rows.
+NO_DAY = "9999-12-31"
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -62,12 +80,7 @@ def hot_account_days(times: DataFrame, hot_key_rows: int) -> DataFrame:
     (or of a superset of them). One partial aggregation: every task combines
     its rows per key before the shuffle, so a hot key costs one row per task.
     """
-    return (
-        times.where(F.col("event_date").isNotNull())
-        .groupBy(*BASE_KEYS)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_key_rows)
-    )
+    return times.groupBy(*BASE_KEYS).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_key_rows)
 
 
 def _second(ts: str | Column) -> Column:
@@ -114,20 +127,21 @@ def assign_chunks(
     times: DataFrame | None,
     hot_key_rows: int | None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    hot: DataFrame | None = None,
 ) -> tuple[DataFrame, Layout]:
     """Tag rows of hot account-days with a chunk of about ``hot_key_rows`` rows.
 
     ``times`` must cover every timeline row's ``(account_id, event_date,
     event_ts)``. When no key is hot the timeline is returned untouched.
+    ``hot`` is the (written) list of hot keys, if it is known already.
     """
     if times is None or hot_key_rows is None:
         return timeline, Layout(chunked=False)
-    hot = hot_account_days(times, hot_key_rows)
-    if hot.count() == 0:
-        return timeline, Layout(chunked=False)
-    # Only when there are hot keys: the key list and the hourly chunk table
-    # are written once (each is derived from a whole-period scan).
-    hot_side, _ = bounded_broadcast(hot, max_broadcast_rows, materialize_first=True)
+    if hot is None:
+        hot = materialize(hot_account_days(times, hot_key_rows))
+        if hot.isEmpty():
+            return timeline, Layout(chunked=False)
+    hot_side, _ = bounded_broadcast(hot, max_broadcast_rows)
     hours, _ = bounded_broadcast(chunk_hours(times, hot_side, hot_key_rows), max_broadcast_rows, materialize_first=True)
     joined = timeline.join(
         hours,
@@ -222,7 +236,36 @@ def sequence_timeline(
     Adds: ``feeder_title, feeder_video_id, last_action, island,
     island_seconds, prev_title, prev_feeder, next_title, next_feeder``.
     """
-    tagged, layout = assign_chunks(timeline, times, hot_key_rows, max_broadcast_rows)
+    plain = Layout(chunked=False)
+    if times is None or hot_key_rows is None:
+        return _sequence(timeline, keys, plain, between)
+    hot = materialize(hot_account_days(times, hot_key_rows))
+    if hot.isEmpty():
+        return _sequence(timeline, keys, plain, between)
+    side, _ = bounded_broadcast(hot.select(*[F.col(c).alias(f"_key_{c}") for c in BASE_KEYS]), max_broadcast_rows)
+    is_hot = _all([F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in BASE_KEYS])
+    cold = _sequence(timeline.join(side, is_hot, "left_anti"), keys, plain, between)
+    # R4 takes a click's day from upstream, where it may be NULL: such rows are
+    # split as well, under a day that no log holds.
+    no_day = F.lit(NO_DAY).cast("date")
+    dated = F.coalesce("event_date", no_day)
+    rows = materialize(timeline.join(side, is_hot, "left_semi").withColumn("event_date", dated))
+    tagged, layout = assign_chunks(
+        rows, rows.select(*BASE_KEYS, "event_ts"), hot_key_rows, max_broadcast_rows, hot.withColumn("event_date", dated)
+    )
+    split = _sequence(tagged, keys, layout, between, timeline.columns)
+    return cold.unionByName(split.withColumn("event_date", F.nullif("event_date", no_day)))
+
+
+def _sequence(
+    tagged: DataFrame,
+    keys: tuple[str, ...],
+    layout: Layout,
+    between: Callable[[DataFrame], DataFrame] | None,
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """``sequence_timeline`` on one layout; ``columns`` are those of the timeline."""
+    columns = columns or tagged.columns
     # Videos and clicks are shuffled separately on the same keys; the union
     # keeps that partitioning, so every row still moves once, and only the
     # videos are sorted for the feeder window. (Filtering on the literal
@@ -261,8 +304,8 @@ def sequence_timeline(
     post = post.select("*", F.sum("_contrib").over(Window.partitionBy(*keys, *ck, "_grp")).alias("_part"))
 
     if not layout.chunked:
-        out = post.select(
-            *timeline.columns,
+        return post.select(
+            *columns,
             "feeder_title",
             "feeder_video_id",
             F.col("_last_action").alias("last_action"),
@@ -273,7 +316,6 @@ def sequence_timeline(
             F.col("_next_title").alias("next_title"),
             F.col("_next_feeder").alias("next_feeder"),
         )
-        return out
 
     fix = _chunk_fixups(pre, post, keys, filtered=between is not None)
     joined = post.join(fix.hint("shuffle_hash"), [*BASE_KEYS, "_chunk"], "left")
@@ -290,7 +332,7 @@ def sequence_timeline(
         .otherwise(F.col("_part"))
     )
     return joined.select(
-        *timeline.columns,
+        *columns,
         "feeder_title",
         "feeder_video_id",
         F.when(first, F.col("_e._prev_last.action")).otherwise(F.col("_last_action")).alias("last_action"),

@@ -8,6 +8,7 @@ oracle SQL applies.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -36,6 +37,7 @@ from ..operators.clicks import (
 )
 from ..operators.videos import prepare_videos
 from ..sources.fixture import fixture_tables
+from ..streaming.daily import refresh_new_days
 from .guards import checkpoint_dir
 
 PARAMS = {
@@ -64,6 +66,10 @@ PARAMS = {
     # account-days exceed the hot-key threshold and are split into chunks.
     "shared_every": 3,
     "shared_hot_key_rows": 25,
+    # Title pairs (source, reached) with viewers who return in the test data.
+    "title_pairs": [("show 0", "show 2"), ("show 2", "show 3"), ("show 3", "show 4"), ("show 1", "show 2")],
+    # Days that land one after another in the refresh query.
+    "refresh_days": ["2024-01-10", "2024-01-11", "2024-01-12"],
 }
 
 ROUNDED = {"island_seconds", "watch_time_start", "watch_time_carry", "final_watch_time", "watch_time"}
@@ -80,8 +86,8 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
-def _inputs(spark: SparkSession, sf_dir: str, shared_every: int | None = None):
-    return fixture_tables(spark, sf_dir, shared_every)
+def _inputs(spark: SparkSession, sf_dir: str, shared_every: int | None = None, wide: bool = False):
+    return fixture_tables(spark, sf_dir, shared_every, wide)
 
 
 def _period():
@@ -92,8 +98,8 @@ def _rules(name: str):
     return rule_set(name).with_details_page(PARAMS["details_page"])
 
 
-def _attribution(spark, sf_dir, name, shared_every=None, **kw) -> DataFrame:
-    clicks, videos = _inputs(spark, sf_dir, shared_every)
+def _attribution(spark, sf_dir, name, shared_every=None, wide=False, **kw) -> DataFrame:
+    clicks, videos = _inputs(spark, sf_dir, shared_every, wide)
     return build_attribution(
         clicks,
         videos,
@@ -159,9 +165,9 @@ def binge_types(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _click_classes(name: str):
+def _click_classes(name: str, wide: bool = False):
     def query(spark, sf_dir):
-        clicks, _ = _inputs(spark, sf_dir)
+        clicks, _ = _inputs(spark, sf_dir, wide=wide)
         r = _rules(name)
         classified = classify_clicks(clean_clicks(clicks, r, *_period()), r)
         return classified.select("account_id", "event_date", "event_ts", "click_details", "action")
@@ -170,14 +176,20 @@ def _click_classes(name: str):
 
 
 def click_titles(spark, sf_dir):
-    clicks, _ = _inputs(spark, sf_dir)
+    return click_titles_of(*_inputs(spark, sf_dir))
+
+
+def click_titles_of(clicks, _):
     r = _rules("R4")
     classified = classify_clicks(clean_clicks(clicks, r, *_period()), r)
     return classified.select("account_id", "event_ts", "player_event", "click_details", "raw_title")
 
 
 def linear_channels_flag(spark, sf_dir):
-    _, videos = _inputs(spark, sf_dir)
+    return linear_flags_of(*_inputs(spark, sf_dir))
+
+
+def linear_flags_of(_, videos):
     return videos.groupBy("display_name", C.is_linear_channel("display_name").alias("is_linear")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -310,13 +322,22 @@ def watch_time_parts(spark, sf_dir):
 # --- reports --------------------------------------------------------------
 
 
+_SAVED: dict[tuple[str, str], str] = {}
+_SAVING = threading.Lock()
+
+
 def _r4_table(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """The reports read a saved attribution table, as in production: the R4
-    build is written once (day-partitioned) and scanned by every branch."""
+    build is written once a session and folder (day-partitioned) and scanned
+    by every report."""
     _, videos = _inputs(spark, sf_dir)
-    path = _scratch_table(spark, "attribution_r4")
-    M.save_table(_attribution(spark, sf_dir, "R4"), path)
-    return spark.read.parquet(path), videos
+    with _SAVING:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _SAVED:
+            path = _scratch_table(spark, "attribution_r4")
+            M.save_table(_attribution(spark, sf_dir, "R4"), path)
+            _SAVED[key] = path
+    return spark.read.parquet(_SAVED[key]), videos
 
 
 def first_starts(spark, sf_dir):
@@ -333,6 +354,21 @@ def return_viewers(spark, sf_dir):
     return A.return_viewers(attribution, PARAMS["source_title"], PARAMS["reached_title"], *_period())
 
 
+def return_viewers_pairs(spark, sf_dir):
+    attribution, _ = _r4_table(spark, sf_dir)
+    out = None
+    for source, reached in PARAMS["title_pairs"]:
+        found = A.return_viewers(attribution, source, reached, *_period())
+        found = found.select(F.lit(source).alias("source"), F.lit(reached).alias("reached"), *found.columns)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def funnel_returning(spark, sf_dir):
+    attribution, videos = _r4_table(spark, sf_dir)
+    return A.funnel(attribution, videos, *PARAMS["title_pairs"][1], *_period())
+
+
 def funnel_stages(spark, sf_dir):
     attribution, videos = _r4_table(spark, sf_dir)
     return A.funnel_stages(attribution, videos, PARAMS["source_title"], PARAMS["reached_title"], *_period())
@@ -384,6 +420,38 @@ def replaced_table(spark, sf_dir):
     return rounded(spark.read.parquet(path).select(*rule_set("R2").output_columns))
 
 
+def refreshed_days(spark, sf_dir):
+    """Two landings of files (a new day and late clicks of an old one), each refreshed."""
+    clicks, videos = _inputs(spark, sf_dir)
+    base = _scratch_table(spark, "refresh")
+    *first, last = [F.lit(d).cast("date") for d in PARAMS["refresh_days"]]
+    late = (F.col("event_date") == first[-1]) & (F.minute("hit_ts") % 3 == 0)
+    landings = [
+        (clicks.where(F.col("event_date").isin(*first) & ~late), videos.where(F.col("event_date").isin(*first))),
+        (clicks.where((F.col("event_date") == last) | late), videos.where(F.col("event_date") == last)),
+    ]
+    for new_clicks, new_videos in landings:
+        new_clicks.write.mode("append").partitionBy("hit_day").parquet(f"{base}/clickstream")
+        new_videos.write.mode("append").partitionBy("event_date").parquet(f"{base}/video_log")
+        refresh_new_days(
+            spark, f"{base}/clickstream", f"{base}/video_log", f"{base}/table", rules=_rules("R3"),
+            progress_path=f"{base}/progress",
+        )
+    return rounded(spark.read.parquet(f"{base}/table").select(*rule_set("R3").output_columns))
+
+
+# --- every arm of the rules -----------------------------------------------
+
+
+def _wide(query):
+    """A query of clicks and videos on the projection in which every arm is met."""
+
+    def run(spark, sf_dir):
+        return query(*_inputs(spark, sf_dir, wide=True))
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_titles": normalize_titles,
     "click_devices": click_devices,
@@ -433,4 +501,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pruned": pruned,
     "reloaded_day": reloaded_day,
     "replaced_table": replaced_table,
+    "refreshed_days": refreshed_days,
+    "return_viewers_pairs": return_viewers_pairs,
+    "funnel_returning": funnel_returning,
+    # Joins that no side may be broadcast for.
+    "attribution_r1_shuffle_joins": _attribution_q("R1", max_broadcast_rows=0),
+    "attribution_r4_shuffle_joins": _attribution_q(
+        "R4", max_broadcast_rows=0, hot_key_rows=PARAMS["small_hot_key_rows"]
+    ),
+    # The projection in which every arm of the rules is met.
+    "click_classes_r1_all_arms": _click_classes("R1", wide=True),
+    "click_classes_r2_all_arms": _click_classes("R2", wide=True),
+    "click_classes_r4_all_arms": _click_classes("R4", wide=True),
+    "click_titles_all_arms": _wide(click_titles_of),
+    "linear_channels_flag_all_arms": _wide(linear_flags_of),
+    "series_map_all_arms": _wide(lambda _, videos: build_series_map(videos, PARAMS["map_date"], _rules("R4"))),
+    "series_map_r1_all_arms": _wide(lambda _, videos: build_series_map(videos, PARAMS["map_date"], _rules("R1"))),
+    "attribution_r1_all_arms": _attribution_q("R1", wide=True),
+    "attribution_r2_all_arms": _attribution_q("R2", wide=True),
+    "attribution_r3_all_arms": _attribution_q("R3", wide=True),
+    "attribution_r4_all_arms": _attribution_q("R4", wide=True),
+    "attribution_r4_all_arms_hot_keys": _attribution_q("R4", wide=True, hot_key_rows=PARAMS["small_hot_key_rows"]),
 }

@@ -16,9 +16,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# About 50-60 MB of short string pairs: the largest side worth copying to
-# every executor; bigger sides take a shuffle join.
+# The largest side worth copying to every executor; bigger sides take a
+# shuffle join. Rows may be wide (titles, arrays), so both bounds hold.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 128 << 20
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -59,9 +60,13 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def bounded_broadcast(
-    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, materialize_first: bool = False
+    df: DataFrame,
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    materialize_first: bool = False,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> tuple[DataFrame, int]:
-    """Return ``(side, rows)``: ``side`` is broadcast only if ``rows <= max_rows``.
+    """Return ``(side, rows)``: ``side`` is broadcast only if it has at most
+    ``max_rows`` rows and ``max_bytes`` bytes (of its rows spelled out, keys left out).
 
     With ``materialize_first`` the table is written once and both the count
     and the join read it; use it when recomputing the table would mean
@@ -70,7 +75,8 @@ def bounded_broadcast(
     """
     if materialize_first:
         df = materialize(df)
-    rows = df.count()
-    if rows <= max_rows:
+    width = F.octet_length(F.array_join(F.array(*[F.col(c).cast("string") for c in df.columns]), ","))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    if rows <= max_rows and (size or 0) <= max_bytes:
         return F.broadcast(df), rows
     return df, rows

@@ -4,11 +4,12 @@
 * ``daily_reload_job`` recompute one day (default: yesterday in New York)
 * ``delete_day_job``   remove one day's rows
 * ``prune_job``        drop the working columns of a saved table
+* ``ordered_job``      write a saved table as one totally ordered result
 * ``monitor_job``      write the daily coverage monitor table
 * ``funnel_job``       the two-title funnel as a small result DataFrame
 
-Inputs are table paths (clickstream, video log, attribution), read with the
-typed readers so only used columns are scanned.
+Inputs are tables (clickstream, video log, attribution) by path or by catalog
+name, read with the typed readers so only used columns are scanned.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from ..functions import columns as C
 from ..functions.rules import RuleSet, rule_set
 from ..operators import analytics as A
 from ..operators import maintenance as M
-from ..operators.attribution import build_attribution
+from ..operators.attribution import build_attribution, presentation_order
 from ..sources.readers import read_attribution, read_clickstream, read_video_log
 
 
@@ -31,6 +32,16 @@ def yesterday(tz: str = C.NEW_YORK) -> dt.date:
     return dt.datetime.now(ZoneInfo(tz)).date() - dt.timedelta(days=1)
 
 
+def _rules(rules: RuleSet | str, details_page: str | None) -> RuleSet:
+    """The rule set with the app's details-page prefix, which has no default:
+    with a wrong one, titles would be wrong without a word."""
+    if details_page is not None:
+        return rule_set(rules).with_details_page(details_page)
+    if isinstance(rules, RuleSet):
+        return rules
+    raise ValueError("details_page is required: the page-name prefix of the app's details pages")
+
+
 def attribution_job(
     spark: SparkSession,
     clickstream_path: str,
@@ -48,9 +59,7 @@ def attribution_job(
 
     ``map_date`` defaults to ``to_date`` (the original builds its map from
     the last finished day)."""
-    r = rule_set(rules)
-    if details_page is not None:
-        r = r.with_details_page(details_page)
+    r = _rules(rules, details_page)
     clicks = read_clickstream(spark, clickstream_path)
     videos = read_video_log(spark, video_log_path)
     built = build_attribution(
@@ -74,9 +83,7 @@ def daily_reload_job(
     """Recompute one day of the table (default: yesterday); returns the day.
 
     ``map_date`` defaults to the reloaded day."""
-    r = rule_set(rules)
-    if details_page is not None:
-        r = r.with_details_page(details_page)
+    r = _rules(rules, details_page)
     day = yesterday() if day is None else (day if isinstance(day, dt.date) else dt.date.fromisoformat(str(day)))
     M.reload_day(
         read_clickstream(spark, clickstream_path), read_video_log(spark, video_log_path), table_path, day, r,
@@ -95,6 +102,11 @@ def prune_job(spark: SparkSession, table_path: str) -> None:
     M.prune_table(spark, table_path)
 
 
+def ordered_job(spark: SparkSession, attribution_path: str, out_path: str, rules: RuleSet | str = "R4") -> None:
+    """The table in the original's final order: the files of ``out_path`` hold it by name."""
+    presentation_order(read_attribution(spark, attribution_path), rules).write.mode("overwrite").parquet(out_path)
+
+
 def monitor_job(
     spark: SparkSession, attribution_path: str, video_log_path: str, out_path: str, *, from_date, to_date
 ) -> None:

@@ -7,6 +7,8 @@ where Catalyst pushes them into the same scan.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,10 @@ CLICKSTREAM_COLUMNS = {
     "binge_source": "string",  # "|"-separated; first segment is the binge type
 }
 
+# Optional: the UTC day of ``hit_ts``, where the clickstream is stored by it.
+# A period then lists and reads its own days only.
+HIT_DAY = "hit_day"
+
 VIDEO_LOG_COLUMNS = {
     "account_id": "string",
     "event_date": "date",
@@ -57,19 +63,31 @@ def conform(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(name).cast(dtype).alias(name) for name, dtype in schema.items()])
 
 
+def is_table_name(source: str) -> bool:
+    """Is ``source`` the name of a catalog table (and not a path)?"""
+    return re.fullmatch(r"\w+(\.\w+){0,2}", source) is not None
+
+
+def scan(spark: SparkSession, source: str) -> DataFrame:
+    """A catalog table by its name, or the Parquet files below a path."""
+    return spark.table(source) if is_table_name(source) else spark.read.parquet(source)
+
+
 def read_clickstream(spark: SparkSession, path: str) -> DataFrame:
-    """The clickstream table in the column names of ``CLICKSTREAM_COLUMNS``."""
-    return conform(spark.read.parquet(path), CLICKSTREAM_COLUMNS)
+    """The clickstream (path or table name) in the column names of
+    ``CLICKSTREAM_COLUMNS``, with ``hit_day`` if it is stored by that."""
+    stored = scan(spark, path)
+    return conform(stored, CLICKSTREAM_COLUMNS | ({HIT_DAY: "date"} if HIT_DAY in stored.columns else {}))
 
 
 def read_video_log(spark: SparkSession, path: str) -> DataFrame:
     """The video log, ideally stored ``partitionBy("event_date")``."""
-    return conform(spark.read.parquet(path), VIDEO_LOG_COLUMNS)
+    return conform(scan(spark, path), VIDEO_LOG_COLUMNS)
 
 
 def read_attribution(spark: SparkSession, path: str) -> DataFrame:
-    """S3: a saved attribution table (all its columns)."""
-    return spark.read.parquet(path)
+    """S3: a saved attribution table, by path or name (all its columns)."""
+    return scan(spark, path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -39,7 +39,7 @@ def refresh_new_days(
     map_lag_days: int = 0,
     **build_kwargs,
 ):
-    """Recompute every day with new files in either input; returns the finished query.
+    """Recompute every day with new files in either input (both by path); returns the finished query.
 
     The series map of a day is built from ``map_lag_days`` before it (0: the
     day itself, as in the daily reload).

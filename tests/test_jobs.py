@@ -2,6 +2,7 @@
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from playtrail.functions.rules import R3, R4
@@ -18,7 +19,7 @@ P = dict(from_date=PARAMS["from_date"], to_date=PARAMS["to_date"])
 
 def _paths(spark):
     fixture_tables(spark, SF_SMALL)
-    return _WRITTEN[(spark.sparkContext.applicationId, SF_SMALL, None)]
+    return _WRITTEN[(spark.sparkContext.applicationId, SF_SMALL, None, False)]
 
 
 def test_attribution_monitor_and_funnel_jobs(spark):
@@ -48,7 +49,12 @@ def test_attribution_monitor_and_funnel_jobs(spark):
 def test_daily_reload_job_replaces_one_day(spark):
     clicks_path, videos_path = _paths(spark)
     base = f"{checkpoint_dir(spark).rstrip('/')}/jobs-{uuid.uuid4().hex}"
-    jobs.attribution_job(spark, clicks_path, videos_path, f"{base}/t", "R3", map_date=PARAMS["map_date"], **P)
+    with pytest.raises(ValueError, match="details_page"):
+        jobs.attribution_job(spark, clicks_path, videos_path, f"{base}/t", "R3", map_date=PARAMS["map_date"], **P)
+    jobs.attribution_job(
+        spark, clicks_path, videos_path, f"{base}/t", "R3", map_date=PARAMS["map_date"],
+        details_page=PARAMS["details_page"], **P,
+    )
     before = spark.read.parquet(f"{base}/t").groupBy("event_date").count().collect()
     day = jobs.daily_reload_job(spark, clicks_path, videos_path, f"{base}/t", "2024-01-15", R3)
     after = {r.event_date: r["count"] for r in spark.read.parquet(f"{base}/t").groupBy("event_date").count().collect()}

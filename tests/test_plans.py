@@ -57,5 +57,37 @@ def test_filters_reach_the_scans(spark):
     text = formatted(spark, df)
     # Clickstream: the coarse UTC bound is pushed into the Parquet reader.
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(hit_ts", text)
+    # A clickstream stored by hit day: its files are pruned by the period too.
+    assert re.search(r"PartitionFilters: \[[^\]]*hit_day", text)
     # Video log: the period prunes day partitions.
     assert re.search(r"PartitionFilters: \[[^\]]*event_date", text)
+
+
+def test_a_clickstream_without_hit_days_gives_the_same_rows(spark):
+    clicks, videos = fixture_tables(spark, SF_SMALL)
+    days = P | {"from_date": "2024-01-10", "to_date": "2024-01-12"}
+    pruned = build_attribution(clicks, videos, R4, **days)
+    plain = build_attribution(clicks.drop("hit_day"), videos, R4, **days)
+    assert pruned.count() > 0
+    assert pruned.exceptAll(plain).count() == 0 and plain.exceptAll(pruned).count() == 0
+
+
+def test_cold_rows_take_the_plain_plan(spark):
+    clicks, videos = fixture_tables(spark, SF_SMALL, shared_every=PARAMS["shared_every"])
+    text = plan(build_attribution(clicks, videos, R4, hot_key_rows=PARAMS["small_hot_key_rows"], **P))
+    scans = text[: text.index("guard-")] if "guard-" in text else text
+    # Rows of the inputs are kept apart from the hot ones by an anti join, and
+    # the chunked side reads the written hot rows instead of the inputs.
+    assert "LeftAnti" in text
+    assert len(re.findall(r"FileScan parquet [^\n]*hit_ts", text)) == 1, scans
+    assert len(re.findall(r"FileScan parquet [^\n]*media_load", text)) == 1
+
+
+def test_broadcast_bound_in_bytes(spark):
+    from playtrail.plans.guards import bounded_broadcast
+
+    small = spark.range(10).selectExpr("id", "repeat('x', 1000) AS title")
+    marked, rows = bounded_broadcast(small, max_rows=100, max_bytes=100_000)
+    assert rows == 10 and "ResolvedHint (strategy=broadcast)" in marked._jdf.queryExecution().analyzed().toString()
+    plain, _ = bounded_broadcast(small, max_rows=100, max_bytes=5_000)
+    assert "Hint" not in plain._jdf.queryExecution().analyzed().toString()

@@ -29,7 +29,7 @@ def _events(seed: int, n: int = 3000) -> pd.DataFrame:
     rng = np.random.default_rng(seed)
     start = np.datetime64("2024-01-26T00:00")
     minutes = rng.integers(0, 5 * 24 * 60, n)  # 2024-01-26 .. 2024-01-30, whole minutes
-    return pd.DataFrame(
+    events = pd.DataFrame(
         {
             "event_id": np.arange(n, dtype="int64"),
             "ts": (start + minutes.astype("timedelta64[m]")).astype("datetime64[us]"),
@@ -39,6 +39,9 @@ def _events(seed: int, n: int = 3000) -> pd.DataFrame:
             "props": [f'{{"k": {k}}}' for k in rng.integers(0, 100, n)],
         }
     )
+    # Rows that differ from another one in their seconds only, and whole repeats.
+    twins = events.iloc[:400].assign(value=lambda e: np.round(e["value"] / 2 + 1, 2))
+    return pd.concat([events, twins, events.iloc[400:500]], ignore_index=True)
 
 
 @pytest.fixture(scope="module")
