@@ -11,7 +11,10 @@ logits are divided by a temperature fitted on a held-out fifth of the variants
 ``LIKELY`` and above the unknown class.
 
 A prediction is confirmed by its template: the share of the template's word
-bigrams that the paragraph holds must be ``CONFIRM`` or more.
+bigrams that the paragraph holds must be ``CONFIRM`` or more. From that follows which
+paragraphs need the classifier at all: of every template, the fewest long words are
+taken without which too few of its bigrams are left (``KEYS``), and a paragraph
+that holds none of them, found by one automaton over the text, can't be confirmed.
 
 Nulls: a null text has no paragraph. Empty paragraphs are not counted. Rows come
 back one for one.
@@ -23,6 +26,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -67,8 +71,30 @@ VOCABULARY = {g: k for k, g in enumerate(dict.fromkeys(g for t in TEMPLATES.valu
 BIGRAMS = [
     (family, text, {g for g in grams(text) if g.count(" ") == 1}) for family, own in TEMPLATES.items() for text in own
 ]
-# A paragraph needs one of these words to have a feature.
-ANCHORS = frozenset(g for g in VOCABULARY if " " not in g)
+
+
+def key_words(bigrams: set[str], share: float = CONFIRM) -> set[str]:
+    """Words of a template, the longest first, until the bigrams without any of them
+    are less than ``share`` of all: a text without these words can't hold that share."""
+    keys: set[str] = set()
+    left = bigrams
+    for word in sorted({w for g in bigrams for w in g.split()}, key=lambda w: (-len(w), w)):
+        if len(left) < share * len(bigrams):
+            break
+        keys.add(word)
+        left = {g for g in left if word not in g.split()}
+    return keys
+
+
+KEYS = ahocorasick.Automaton()
+for _key in sorted(set().union(*(key_words(b) for _, _, b in BIGRAMS))):
+    KEYS.add_word(_key, _key)
+KEYS.make_automaton()
+
+
+def may_hold_notice(text: str) -> bool:
+    """Does a lower-case text hold a key word (maybe inside another word)?"""
+    return next(KEYS.iter(text), None) is not None
 
 
 @dataclass
@@ -166,8 +192,8 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
                 lines = [x for x in (text or "").split("\n") if x and not x.isspace()]
                 counts.append(len(lines))
                 own = []
-                for k, line in enumerate(lines):
-                    if ANCHORS.isdisjoint(WORD.findall(line.lower())):
+                for k, line in enumerate(lines if may_hold_notice((text or "").lower()) else ()):
+                    if not may_hold_notice(line.lower()):
                         continue
                     got = known.get(line, ...)
                     if got is ...:

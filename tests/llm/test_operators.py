@@ -470,3 +470,13 @@ def test_licence_families(spark, odd_docs, no_docs):
         assert r["n_paragraphs"] == len(lines[r["doc_id"]])
     assert licenses.scan(odd_docs, model).count() == 9
     assert licenses.scan(no_docs, licenses.train(no_docs)).count() == 0
+
+
+def test_paragraphs_without_key_words_cannot_be_confirmed():
+    from playtrail.llm import licenses
+
+    for family, template, bigrams in licenses.BIGRAMS:
+        keys = licenses.key_words(bigrams)
+        rest = {g for g in bigrams if not keys & set(g.split())}
+        assert len(rest) / len(bigrams) < licenses.CONFIRM, (family, template)
+        assert licenses.may_hold_notice(template.lower())
