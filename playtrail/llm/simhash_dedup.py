@@ -35,7 +35,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playtrail.llm.common import cut, text_chunks
@@ -66,8 +66,10 @@ def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): one row per document, ``fp`` as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str | None = None) -> DataFrame:
+    """(doc_id, fp): one row per document, ``fp`` as a signed 64-bit integer; the string
+    column ``key`` goes along, if one is named."""
+    extra = [key] if key else []
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_chunks(batches):
@@ -76,10 +78,12 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 for t in b.column(1).cast(pa.large_string())
             ]
             signed = np.array(fps, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(signed)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(signed), *b.columns[2:]], ["doc_id", "fp", *extra])
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    picked = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra
+    )
+    return picked.mapInArrow(run, ", ".join(["doc_id long", "fp long", *(f"{c} string" for c in extra)]))
 
 
 def _spanning(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple[int, int]]:
@@ -206,16 +210,22 @@ def connected(edges: DataFrame) -> DataFrame:
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
 
 
-def components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fingerprint, component_id): one row per row of ``docs``."""
-    fps = cut(fingerprints(docs, shingle))
+def _rooted(fps: DataFrame, radius: int) -> DataFrame:
+    """(fp, first_id, root): every fingerprint of ``fps`` (doc_id, fp), its smallest
+    doc_id, and the smallest fingerprint of its component."""
     nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = connected(links(nodes, radius))
-    known = cut(
+    return cut(
         nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
             "fp", "first_id", F.coalesce("root", "fp").alias("root")
         )
     )
+
+
+def components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, fingerprint, component_id): one row per row of ``docs``."""
+    fps = cut(fingerprints(docs, shingle))
+    known = _rooted(fps, radius)
     ids = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = known.join(ids, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(
@@ -223,13 +233,31 @@ def components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) ->
     )
 
 
+def row_key() -> Column:
+    """A digest of a row's doc_id and text, which settle its component and its rank there."""
+    doc, text = F.col("doc_id").cast("long").cast("string"), F.col("text").cast("string")
+    known = F.concat(F.when(doc.isNull(), "-").otherwise(doc), F.when(text.isNull(), "-").otherwise("+"))
+    return F.sha2(F.concat(known, F.coalesce(text, F.lit(""))), 256)
+
+
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest
-    doc_id. Rows without a doc_id can't be named as copies and stay."""
-    found = cut(components(docs, shingle, radius))
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    stay = docs.join(gone, "doc_id", "left_anti")
-    once = stay.join(repeated, "doc_id", "left_anti")
-    twice = stay.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(twice.select(once.columns)).select(docs.columns)
+    """``docs`` with one row of each component: the one with the smallest doc_id, then
+    the smallest ``row_key``, then the smallest other columns. Rows are judged each by
+    its own text, so rows of one doc_id in several components are several documents. A
+    row without a doc_id isn't a copy of one that has one: of these, too, the smallest of
+    each component stays."""
+    names = docs.columns
+    fps = cut(fingerprints(docs.withColumn("key", row_key()), shingle, "key"))
+    known = _rooted(fps, radius).select("fp", "root")
+    rows = fps.groupBy("key", "fp", "doc_id").agg(F.count("*").alias("n"))
+    rows = cut(rows.join(known, "fp").select("key", "doc_id", "n", "root"))
+    unnamed = F.col("doc_id").isNull().alias("unnamed")
+    least = rows.groupBy("root", unnamed).agg(F.min(F.struct("doc_id", "key")).getField("key").alias("key"))
+    kept = cut(least.select("key"))
+    # Written, so that their own size and not that of ``rows`` decides how the texts are joined.
+    gone = cut(rows.join(kept, "key", "left_anti").select("key"))
+    repeated = cut(rows.filter("n > 1").join(kept, "key", "left_semi").select("key"))
+    stay = docs.select(F.struct(*names).alias("row"), row_key().alias("key")).join(gone, "key", "left_anti")
+    once = stay.join(repeated, "key", "left_anti").select("row")
+    twice = stay.join(repeated, "key", "left_semi").groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return once.unionByName(twice.select("row")).select("row.*")

@@ -104,6 +104,16 @@ def test_simhash_odd_tables(spark, odd_docs, no_docs):
     assert simhash_dedup.keep_one(no_docs).count() == 0
 
 
+def test_one_row_of_each_component_whatever_the_ids(spark):
+    rnd = random.Random(12)
+    a, b, c, d, e = (" ".join(rnd.choice(string.ascii_lowercase) * 3 + str(rnd.random()) for _ in range(40)) for _ in range(5))
+    rows = [(3, a, "x"), (7, a, "x"), (7, b, "x"), (8, c, "x"), (8, d, "y"), (8, d, "x"), (None, e, "y"), (None, e, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = {tuple(r) for r in simhash_dedup.keep_one(docs).collect()}
+    assert kept == {(3, a, "x"), (7, b, "x"), (8, c, "x"), (8, d, "x"), (None, e, "x")}
+    assert simhash_dedup.keep_one(docs).count() == 5
+
+
 # --- decontamination -------------------------------------------------------
 
 
