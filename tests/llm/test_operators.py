@@ -288,6 +288,45 @@ def test_surrogates_keep_format_distinctness_and_coreference(spark):
     assert [rows[len(values) + k]["text"] for k in (1, 2, 3)] == ["plain", None, ""]
 
 
+def test_every_entity_passes_the_hint(spark):
+    rnd = random.Random(13)
+    pick = lambda pool, n: "".join(rnd.choice(pool) for _ in range(n))
+    texts = ["AKIA" + pick("QWERTY", 16) for _ in range(5)] + ["ASIA" + pick(string.ascii_uppercase, 16) for _ in range(5)]
+    texts += [pick("abcdef", 40), pick("0123456789abcdef", 40), "pwd: " + pick("abc", 8), "Sr. Ab", "a@b.cd", "123-45-6789", "1.2.3.4"]
+    texts += ["+49 30 123 4567", "(212) 555-0100", "4111 1111 1111 1111"]
+    docs = documents(spark, [f"deploy with {t} please" for t in texts])
+    assert docs.filter(pii.has_entity(docs.text)).count() == docs.filter(docs.text.rlike(pii.ANY)).count() == len(texts)
+    new = {r["doc_id"]: r["text"] for r in pii.replace(docs).collect()}
+    assert not [t for k, t in enumerate(texts) if t in new[k]]
+
+
+def test_coreference_holds_across_ways_of_writing(spark):
+    texts = [
+        "Mr Smith", "Mr. Smith", "Mrs Smith's", "Mr Adam Smith", "Herr SMITH",
+        "Dear Mr Adam Smith, here Smith's note: Smith, then Adam Smith. A blacksmith, Smithson and smith stay",
+        "Jo.Doe@Mail.Test.org jo.doe@mail.test.org", "+1 (212) 555-0100 or +12125550100 or 212-555-0100", "4111 1111 1111 1111 4111111111111111",
+        "Smith alone", "+49 30 123 4567 +49301234567", "Frau Anna Meyer-Lund met Meyer-Lund",
+    ]
+    rows = {r["doc_id"]: r for r in pii.replace(documents(spark, texts), count="n").collect()}
+    new = [rows[k]["text"] for k in range(len(texts))]
+    family = new[0].removeprefix("Mr ")
+    given = new[3].split()[1]
+    assert family != "Smith" and given != "Adam"
+    assert new[1:5] == [f"Mr. {family}", f"Mrs {family}'s", f"Mr {given} {family}", f"Herr {family.upper()}"]
+    assert new[5] == f"Dear Mr {given} {family}, here {family}'s note: {family}, then {given} {family}. A blacksmith, Smithson and smith stay"
+    assert rows[5]["n"] == 5
+    first, second = new[6].split()
+    assert first.lower() == second and [c.isupper() for c in first] == [c.isupper() for c in texts[6].split()[0]] and "jo.doe" not in second
+    for k, old in ((7, "12125550100"), (8, "4111111111111111"), (10, "49301234567")):
+        assert re.sub("[0-9]", "0", new[k]) == re.sub("[0-9]", "0", texts[k]) and old not in re.sub("[^0-9]", "", new[k])
+    digits = [re.sub("[^0-9]", "", x) for x in (new[7][:17], new[7][21:33], new[7][37:])]
+    assert digits[0] == digits[1] == "1" + digits[2] != "12125550100" and digits[0][4:7] == "555"
+    assert new[8][:19].replace(" ", "") == new[8][20:] != "4111111111111111"
+    assert re.sub("[^0-9]", "", new[10][:15]) == new[10][17:] != "49301234567"
+    assert new[9] == "Smith alone"
+    assert new[11].split()[2] == new[11].split()[4] != "Meyer-Lund"
+
+
 def test_colliding_draws_are_drawn_again(spark):
     # All numbers of one format but a few: nearly every first draw is a value of the corpus.
     values = [(f"{a:03d}-00-{b:04d}",) for a in range(3) for b in range(60)]
