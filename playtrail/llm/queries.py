@@ -14,17 +14,21 @@ from pyspark.sql import functions as F
 
 from playtrail.llm import (
     bpe_automaton,
+    collocations,
     decontaminate,
     edit_counts,
     html_template,
     licenses,
     pii,
     simhash_dedup,
+    substring_dedup,
     syncmers,
     token_shards,
     toxicity,
+    vector_codes,
 )
 from playtrail.llm.common import read
+from playtrail.llm.oracle import ORACLE  # noqa: F401  (the entry point reads it here)
 from playtrail.plans.guards import shared_dir
 
 
@@ -101,6 +105,21 @@ def op10_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.components(read(spark, sf_dir, "documents"))
 
 
+def op11_dual_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every vector, from codebooks of six Lloyd rounds."""
+    return vector_codes.codes(read(spark, sf_dir, "embeddings"))
+
+
+def op12_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, and what is left without repeats of 35 words and more."""
+    return substring_dedup.report(read(spark, sf_dir, "documents"))
+
+
+def op13_phrase_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two to four words of each language."""
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -114,8 +133,8 @@ QUERIES = {
         op8_html_templates,
         op9_token_shards,
         op10_simhash_tiles,
+        op11_dual_tree_codes,
+        op12_seed_extend,
+        op13_phrase_rollup,
     )
 }
-
-# DuckDB SQL where SQL can express a query over whole tables.
-ORACLE: dict[str, str] = {}
