@@ -54,6 +54,6 @@ def test_packed_windows_come_back():
     back = C.Windows.unpack(found.pack())
 
     def plain(w):
-        return sorted((tuple(w.words[i] if i >= 0 else None for i in c), int(n)) for c, n in zip(w.codes, w.counts))
+        return sorted((tuple(w.words[i] if i >= 0 else b"-" for i in c), int(n)) for c, n in zip(w.codes, w.counts))
 
     assert plain(back) == plain(found)
