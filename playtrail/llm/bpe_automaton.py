@@ -31,6 +31,7 @@ encoded whole.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from array import array
@@ -218,10 +219,12 @@ class Codec:
             out += self._plain(text[at:] if at else text)
         return np.frombuffer(b"".join(out), np.uint32)
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode(self, ids: list[int]) -> str:
         """The text of ids; an id without a label adds nothing."""
         arcs = self.arcs
-        return b"".join([arcs[i] for i in ids if 0 <= i < len(arcs)]).decode("utf-8", "replace")
+        if ids and not 0 <= min(ids) <= max(ids) < len(arcs):
+            ids = [i for i in ids if 0 <= i < len(arcs)]
+        return b"".join(map(arcs.__getitem__, ids)).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -265,12 +268,34 @@ def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", name: str = "deco
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())]))
 
 
+def coded(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """(doc_id, ids, ids_sha256, decoded_sha256): every text encoded and its ids decoded again, both in
+    one pass, so that ids and decoded texts don't leave the worker in between."""
+    from pyspark.sql import types as T
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(vocabulary)
+        digits = [str(i) for i in range(len(own.arcs))]
+        for b in text_chunks(batches):
+            ids, ids_sha, decoded_sha = [], [], []
+            for text in b.column(1).cast(pa.large_string()).to_pylist():
+                found = own.encode(text or "")
+                plain = found.tolist()
+                ids.append(found)
+                ids_sha.append(hashlib.sha256(",".join(map(digits.__getitem__, plain)).encode()).hexdigest())
+                decoded_sha.append(hashlib.sha256(own.decode(plain).encode()).hexdigest())
+            offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+            values = pa.array(np.concatenate(ids).astype(np.int32)) if ids else pa.array([], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
+                ["doc_id", "ids", "ids_sha256", "decoded_sha256"],
+            )
+
+    picked = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    more = [("ids", T.ArrayType(T.IntegerType())), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
+    return picked.mapInArrow(run, T.StructType([picked.schema["doc_id"], *(T.StructField(n, t) for n, t in more)]))
+
+
 def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256), encoded then decoded."""
-    both = decode(encode(docs.select("doc_id", "text"), vocabulary).drop("text"), vocabulary)
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return coded(docs, vocabulary).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", "decoded_sha256")

@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str | None = None
     picked = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra
     )
-    return picked.mapInArrow(run, ", ".join(["doc_id long", "fp long", *(f"{c} string" for c in extra)]))
+    return picked.mapInArrow(run, ", ".join(["doc_id long", "fp long", *(f"{c} binary" for c in extra)]))
 
 
 def _spanning(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple[int, int]]:
@@ -234,30 +234,28 @@ def components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) ->
 
 
 def row_key() -> Column:
-    """A digest of a row's doc_id and text, which settle its component and its rank there."""
+    """16 bytes for a row's doc_id and text, which settle its component and its rank there."""
     doc, text = F.col("doc_id").cast("long").cast("string"), F.col("text").cast("string")
     known = F.concat(F.when(doc.isNull(), "-").otherwise(doc), F.when(text.isNull(), "-").otherwise("+"))
-    return F.sha2(F.concat(known, F.coalesce(text, F.lit(""))), 256)
+    return F.unhex(F.md5(F.concat(known, F.coalesce(text, F.lit("")))))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest doc_id, then
-    the smallest ``row_key``, then the smallest other columns. Rows are judged each by
-    its own text, so rows of one doc_id in several components are several documents. A
-    row without a doc_id isn't a copy of one that has one: of these, too, the smallest of
-    each component stays."""
+    """``docs`` with one row of each component: the one with the smallest doc_id (rows
+    without one come last), then the smallest ``row_key``, then the smallest other columns.
+    Rows are judged each by its own text, so rows of one doc_id in several components are
+    several documents.
+
+    The texts are shuffled once at every size: the rows meet the keys of those that stay in a
+    merge join, and rows of a key that several have are told apart where they then lie."""
     names = docs.columns
     fps = cut(fingerprints(docs.withColumn("key", row_key()), shingle, "key"))
     known = _rooted(fps, radius).select("fp", "root")
-    rows = fps.groupBy("key", "fp", "doc_id").agg(F.count("*").alias("n"))
-    rows = cut(rows.join(known, "fp").select("key", "doc_id", "n", "root"))
-    unnamed = F.col("doc_id").isNull().alias("unnamed")
-    least = rows.groupBy("root", unnamed).agg(F.min(F.struct("doc_id", "key")).getField("key").alias("key"))
-    kept = cut(least.select("key"))
-    # Written, so that their own size and not that of ``rows`` decides how the texts are joined.
-    gone = cut(rows.join(kept, "key", "left_anti").select("key"))
-    repeated = cut(rows.filter("n > 1").join(kept, "key", "left_semi").select("key"))
-    stay = docs.select(F.struct(*names).alias("row"), row_key().alias("key")).join(gone, "key", "left_anti")
-    once = stay.join(repeated, "key", "left_anti").select("row")
-    twice = stay.join(repeated, "key", "left_semi").groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row"))
-    return once.unionByName(twice.select("row")).select("row.*")
+    rows = fps.groupBy("key", "fp", "doc_id").agg(F.count("*").alias("n")).join(known, "fp")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "key", "n")
+    kept = cut(rows.groupBy("root").agg(F.min(first).alias("row")).select("row.key", "row.n"))
+    stay = docs.select(F.struct(*names).alias("row"), row_key().alias("key")).join(kept.hint("merge"), "key")
+    once = stay.filter("n = 1").select("row")
+    # The join again, on the same exchange of the texts.
+    equal = stay.filter("n > 1").groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
+    return once.unionByName(equal).select("row.*")

@@ -255,8 +255,10 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     text = names.index("text")
     candidates = rows.join(known.hint("merge"), "rid").select("row", "rid", "mixed")
     stretches = candidates.mapInArrow(_matches(length, text), "rid long, seed long, stretch long")
-    repeated = stretches.groupBy("seed", "stretch").agg(F.count("*").alias("n")).filter("n > 1").select("seed", "stretch")
-    matched = stretches.join(repeated.hint("merge"), ["seed", "stretch"])
+    repeated = stretches.groupBy("seed", "stretch").agg(F.count("*").alias("n")).filter("n > 1")
+    # As one column, the key is dealt out anew on both sides, and the join can split one that is hot.
+    pair = F.struct("seed", "stretch").alias("pair")
+    matched = stretches.select("rid", "stretch", pair).join(repeated.select(pair).hint("merge"), "pair")
     matched = matched.groupBy("rid").agg(F.collect_set("stretch").alias("stretches"))
     done = rows.join(known.hint("merge"), "rid", "left").join(matched.hint("merge"), "rid", "left")
     done = done.select("row", "alike", "mixed", "stretches")
