@@ -28,6 +28,7 @@ is read whole. Extra columns are ignored.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -44,13 +45,21 @@ LEAST = 30
 INSIDE = 80
 TOP = 2000
 BLOCK = 1 << 20  # windows counted at a time in a task
-BUCKET_BYTES = 64 << 20  # of text that a bucket holds the windows of, about
+BUCKET_BYTES = 4 << 20  # of text that a bucket holds the windows of, about
 HEAVY = 64  # two words with over 1/HEAVY of a block's windows are dealt out by whole windows
 UNKNOWN = "und"
 
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 
 
+class Numbers(dict):
+    """Numbers for words in the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Windows:
     """Distinct windows with their counts: ``codes`` (rows x (language, words)) point into
     ``words``, -1 for padding; ``apart`` marks those that were dealt out by whole windows."""
@@ -60,10 +69,14 @@ class Windows:
 
     def pack(self) -> bytes:
         """The windows as one compressed string, with the words they use."""
-        used, codes = np.unique(self.codes, return_inverse=True)
-        codes = codes.reshape(self.codes.shape).astype("<u4") + np.uint32(used[0] >= 0)  # 0 is padding
-        words = [self.words[i] for i in used.tolist() if i >= 0]
-        order = np.lexsort(codes.T[::-1])
+        used = np.zeros(len(self.words) + 1, bool)
+        used[self.codes] = True  # padding marks the last
+        used[-1] = False
+        number = np.cumsum(used)  # from 1
+        number[-1] = 0  # padding
+        codes = number.astype("<u4")[self.codes]
+        words = [self.words[i] for i in np.flatnonzero(used).tolist()]
+        order = _order(codes)
         return zstandard.ZstdCompressor(level=3).compress(
             np.array([len(words), len(codes), codes.shape[1]], "<i8").tobytes()
             + np.array([len(w) for w in words], "<i4").tobytes()
@@ -80,24 +93,28 @@ class Windows:
         at = np.cumsum([24, 4 * known, 4 * rows * width, 8 * rows, rows]).tolist()
         ends = at[4] + np.cumsum(np.frombuffer(data, "<i4", known, at[0]), dtype=np.int64)
         words = [data[i:j] for i, j in zip([at[4], *ends.tolist()], ends.tolist())]
-        codes = np.frombuffer(_join(data[at[1] : at[2]], 4), "<u4").reshape(width, rows).T.astype(np.int64)
+        codes = np.frombuffer(_join(data[at[1] : at[2]], 4), "<u4").reshape(width, rows).T.astype(np.int32)
         counts = np.frombuffer(_join(data[at[2] : at[3]], 8), "<i8")
         return Windows(words, codes - 1, counts, np.frombuffer(data, np.uint8, rows, at[3]) > 0)
 
     @staticmethod
     def sum(parts: list[Windows]) -> Windows:
         """All windows of the parts, equal ones added up, in the order of their codes."""
-        number: dict[bytes, int] = {}
+        number = Numbers()
         codes = []
         for p in parts:
-            own = np.array([number.setdefault(w, len(number)) for w in p.words] + [-1], np.int64)
+            own = np.array([*map(number.__getitem__, p.words), -1], np.int32)
             codes.append(own[p.codes])  # -1 finds the last
-        codes, counts = np.concatenate(codes), np.concatenate([p.counts for p in parts])
-        apart = np.concatenate([p.apart for p in parts])
-        order = np.lexsort(codes.T[::-1])
-        codes, counts, apart = codes[order], counts[order], apart[order]
+        return Windows(
+            list(number), np.concatenate(codes), np.concatenate([p.counts for p in parts]), np.concatenate([p.apart for p in parts])
+        ).added()
+
+    def added(self) -> Windows:
+        """Equal windows added up, in the order of their codes."""
+        order = _order(self.codes + np.int32(1))
+        codes, counts, apart = self.codes[order], self.counts[order], self.apart[order]
         first = _first(codes)
-        return Windows(list(number), codes[first], np.add.reduceat(counts, first), np.logical_or.reduceat(apart, first))
+        return Windows(self.words, codes[first], np.add.reduceat(counts, first), np.logical_or.reduceat(apart, first))
 
 
 def _split(data: bytes, width: int) -> bytes:
@@ -109,6 +126,13 @@ def _join(data: bytes, width: int) -> bytes:
     return np.frombuffer(data, np.uint8).reshape(width, -1).T.tobytes()
 
 
+def _order(codes: np.ndarray) -> np.ndarray:
+    """The order of rows of numbers from 0 to 2^32 - 1: two columns make a key."""
+    wide = [codes[:, i].astype(np.uint64) for i in range(codes.shape[1])]
+    keys = [a << np.uint64(32) | b for a, b in zip(wide[::2], wide[1::2])] + wide[len(wide) // 2 * 2 :]
+    return np.lexsort(keys[::-1])
+
+
 def _first(codes: np.ndarray) -> np.ndarray:
     """Where rows differ from the row before."""
     return np.flatnonzero(np.concatenate([[True], (codes[1:] != codes[:-1]).any(axis=1)]))
@@ -119,25 +143,37 @@ def pieces(text: bytes) -> list[list[bytes]]:
     return [w for p in text.lower().translate(_PIECES).split(b"\n") if (w := p.split())]
 
 
-def lead_windows(words: list[bytes], langs: list[bytes], sizes: list[int], size: int = SIZE, tail: int = 0) -> Windows:
-    """Distinct padded windows of a block: ``sizes`` words in each piece, of one language
-    each. The last ``tail`` words of the block lead no window."""
-    number: dict[bytes, int] = {}
-    lang = np.repeat(np.array([number.setdefault(x, len(number)) for x in langs], np.int64), sizes)
-    codes = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))  # words up to the end of the piece
-    columns = [lang]
-    for step in range(size):
-        lead = np.full(len(codes), -1, np.int64)
-        lead[: len(codes) - step] = codes[step:]
-        columns.append(np.where(left > step, lead, -1))
-    table = np.stack(columns, axis=1)[: len(codes) - tail]
-    # Equal windows meet under hashes of their codes, which sort faster than the codes do.
-    # Different windows of one hash may lie among each other; they are added up later.
-    table = table[np.argsort(((table + 2).astype(np.uint64) * _weights(size + 1)).sum(axis=1, dtype=np.uint64))]
-    first = _first(table)
-    counts = np.diff(np.concatenate([first, [len(table)]]))
-    return Windows(list(number), table[first], counts, np.zeros(len(first), bool))
+class Block:
+    """Pieces of texts as codes, until their windows are counted."""
+
+    def __init__(self, size: int = SIZE):
+        self.size, self.number = size, Numbers()
+        self.codes, self.langs, self.lengths = array("i"), array("i"), array("q")
+
+    def add(self, lang: bytes, words: list[bytes]) -> None:
+        self.langs.append(self.number[lang])
+        self.codes.extend(map(self.number.__getitem__, words))
+        self.lengths.append(len(words))
+
+    def windows(self, tail: int = 0) -> Windows:
+        """Distinct padded windows. The last ``tail`` words lead none."""
+        lengths, codes = np.array(self.lengths), np.array(self.codes, np.int32)
+        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # words up to the end of the piece
+        table = np.full((len(codes), self.size + 1), -1, np.int32)
+        table[:, 0] = np.repeat(np.array(self.langs, np.int32), lengths)
+        for step in range(self.size):
+            lead = table[: len(codes) - step, step + 1]
+            np.copyto(lead, codes[step:], where=left[: len(codes) - step] > step)
+        table = table[: len(codes) - tail]
+        # Equal windows meet under hashes of their codes, which sort faster than the codes do.
+        # Different windows of one hash may lie among each other; they are added up later.
+        keys = np.zeros(len(table), np.uint64)
+        for column, weight in zip(table.T, _weights(self.size + 1)):
+            keys += (column + np.int32(2)).astype(np.uint64) * weight
+        table = table[np.argsort(keys)]
+        first = _first(table)
+        counts = np.diff(np.concatenate([first, [len(table)]]))
+        return Windows(list(self.number), table[first], counts, np.zeros(len(first), bool))
 
 
 def _weights(columns: int) -> np.ndarray:
@@ -146,23 +182,25 @@ def _weights(columns: int) -> np.ndarray:
 
 def deal(block: Windows, buckets: int) -> Iterator[tuple[int, Windows]]:
     """The block's windows by bucket."""
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in block.words] + [1], np.uint64)[block.codes]
-    weights = _weights(hashes.shape[1])
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in block.words] + [1], np.uint64)
+    weights = _weights(block.codes.shape[1])
 
     def bucket(columns: int) -> np.ndarray:
-        sums = (hashes[:, :columns] * weights[:columns]).sum(axis=1, dtype=np.uint64)
+        sums = np.zeros(len(block.codes), np.uint64)
+        for column, weight in zip(block.codes.T[:columns], weights):
+            sums += hashes[column] * weight
         return (sums ^ (sums >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(11)
 
     pair = bucket(3)
     _, number, sizes = np.unique(pair, return_inverse=True, return_counts=True)
     heavy = sizes[number] > max(LEAST, len(pair) // HEAVY)
     marks, at = np.unique(block.codes[heavy, :3], axis=0, return_index=True)
-    mark = np.full((len(marks), block.codes.shape[1]), -1, np.int64)
+    mark = np.full((len(marks), block.codes.shape[1]), -1, np.int32)
     mark[:, :3] = marks
     codes = np.concatenate([block.codes, mark])
     counts = np.concatenate([block.counts, np.zeros(len(marks), np.int64)])
     apart = np.concatenate([heavy, np.ones(len(marks), bool)])
-    target = np.concatenate([np.where(heavy, bucket(hashes.shape[1]), pair), pair[heavy][at]]) % np.uint64(buckets)
+    target = np.concatenate([np.where(heavy, bucket(len(weights)), pair), pair[heavy][at]]) % np.uint64(buckets)
     order = np.argsort(target, kind="stable")
     bounds = np.searchsorted(target[order], np.arange(buckets + 1, dtype=np.uint64))
     for b in np.flatnonzero(np.diff(bounds)).tolist():
@@ -179,24 +217,24 @@ def _count(buckets: int, size: int, block: int):
         )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, langs, sizes = [], [], []
+        held = Block(size)
         for b in batches:
             for lang, text in zip(b.column(0), b.column(1)):
                 if not text.is_valid:
                     continue
                 code = lang.as_buffer().to_pybytes()
                 for piece in pieces(text.as_buffer().to_pybytes()):
-                    while len(piece) > block:  # blocks of its own; each begins where no window did
-                        yield packed(lead_windows(piece[:block], [code], [block], size, tail=size - 1))
+                    while len(piece) > block:  # a block of its own; the next one begins where no window did
+                        alone = Block(size)
+                        alone.add(code, piece[:block])
+                        yield packed(alone.windows(tail=size - 1))
                         piece = piece[block - size + 1 :]
-                    words += piece
-                    langs.append(code)
-                    sizes.append(len(piece))
-                    if len(words) >= block:
-                        yield packed(lead_windows(words, langs, sizes, size))
-                        words, langs, sizes = [], [], []
-        if words:
-            yield packed(lead_windows(words, langs, sizes, size))
+                    held.add(code, piece)
+                    if len(held.codes) >= block:
+                        yield packed(held.windows())
+                        held = Block(size)
+        if held.codes:
+            yield packed(held.windows())
 
     return run
 
@@ -226,9 +264,9 @@ def _add_up(least: int, size: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
             found = padded(Windows.sum([Windows.unpack(p) for p in parts]), least)
-            found = Windows.sum([found])
+            found = found.added()
             found_rows = np.flatnonzero(found.counts)
-            words = pa.array([w.decode() for w in found.words], pa.string())
+            words = pa.array(found.words, pa.binary()).cast(pa.string())
             for start in range(0, len(found_rows), 1 << 16):
                 take = found_rows[start : start + (1 << 16)]
                 codes = found.codes[take]
@@ -256,10 +294,11 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, size: int = SIZE, block:
         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("string").alias("text")
     )
     total = texts.agg(F.sum(F.octet_length("text").cast("decimal(38,0)"))).first()[0] or 0
-    buckets = max(shuffle_parts(docs), int(total // BUCKET_BYTES) + 1)
+    parts = shuffle_parts(docs)
+    buckets = max(parts, int(total // BUCKET_BYTES) + 1)
     names = [f"w{i}" for i in range(1, size + 1)]
     packed = texts.mapInArrow(_count(buckets, size, block), "bucket int, windows binary")
-    packed = packed.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
+    packed = packed.repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket")
     schema = "lang string, " + "".join(f"{n} string, " for n in names) + "n long"
     top = packed.mapInArrow(_add_up(least, size), schema)
     top = top.groupBy("lang", *names).agg(F.sum("n").alias("n"))

@@ -50,7 +50,10 @@ def test_odd_tables(spark, odd_docs, no_docs):
 
 
 def test_packed_windows_come_back():
-    found = C.lead_windows([b"a", b"b", b"a", b"b", b""], [b"en", b""], [4, 1])
+    block = C.Block()
+    block.add(b"en", [b"a", b"b", b"a", b"b"])
+    block.add(b"", [b""])
+    found = block.windows()
     back = C.Windows.unpack(found.pack())
 
     def plain(w):
