@@ -46,11 +46,8 @@ def replace_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the ids, their number, and the digest of the text decoded from them."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    ids = bpe_automaton.encode(docs.select("doc_id", F.col("text").cast("string").alias("text")), path).drop("text")
-    return bpe_automaton.decode(ids, path).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    done = bpe_automaton.coded(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 STAGES = [
