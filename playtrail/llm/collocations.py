@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -150,10 +151,10 @@ class Block:
         self.size, self.number = size, Numbers()
         self.codes, self.langs, self.lengths = array("i"), array("i"), array("q")
 
-    def add(self, lang: bytes, words: list[bytes]) -> None:
-        self.langs.append(self.number[lang])
-        self.codes.extend(map(self.number.__getitem__, words))
-        self.lengths.append(len(words))
+    def add(self, lang: bytes, pieces: list[list[bytes]]) -> None:
+        self.codes.extend(map(self.number.__getitem__, chain.from_iterable(pieces)))
+        self.lengths.extend(map(len, pieces))
+        self.langs.extend([self.number[lang]] * len(pieces))
 
     def windows(self, tail: int = 0) -> Windows:
         """Distinct padded windows. The last ``tail`` words lead none."""
@@ -223,16 +224,18 @@ def _count(buckets: int, size: int, block: int):
                 if not text.is_valid:
                     continue
                 code = lang.as_buffer().to_pybytes()
-                for piece in pieces(text.as_buffer().to_pybytes()):
-                    while len(piece) > block:  # a block of its own; the next one begins where no window did
+                found = pieces(text.as_buffer().to_pybytes())
+                for long in [p for p in found if len(p) > block]:
+                    for start in range(0, len(long) - block, block - size + 1):
+                        # A block of its own, whose last words lead no window: they do in the next one.
                         alone = Block(size)
-                        alone.add(code, piece[:block])
+                        alone.add(code, [long[start : start + block]])
                         yield packed(alone.windows(tail=size - 1))
-                        piece = piece[block - size + 1 :]
-                    held.add(code, piece)
-                    if len(held.codes) >= block:
-                        yield packed(held.windows())
-                        held = Block(size)
+                    del long[: start + block - size + 1]
+                held.add(code, found)
+                if len(held.codes) >= block:
+                    yield packed(held.windows())
+                    held = Block(size)
         if held.codes:
             yield packed(held.windows())
 
@@ -348,11 +351,11 @@ def collocations(docs: DataFrame, least: int = LEAST, inside: int = INSIDE, top:
     kept = scored.join(longer, ["lang", "phrase"], "left").filter(
         f"longer is null or not (CAST(100 AS {wide}) * longer >= CAST({inside} AS {wide}) * a)"
     )
-    best = kept.join(total, "lang").select(
-        "lang", "phrase", "a", "cut.l", "cut.r", "n", F.col("cut.score").alias("score")
-    )
-    rank = F.expr("row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)").cast("long")
-    return best.withColumn("rank", rank).filter(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    best = kept.select("lang", "phrase", "a", "cut.l", "cut.r", F.col("cut.score").alias("score"))
+    # The first ``top`` of each task go on, so a language with a third of all phrases is no task's own.
+    rank = F.expr("row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)")
+    ranked = best.withColumn("rank", rank).filter(F.col("rank") <= top)
+    return ranked.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 def brute_force(rows: list[tuple[str | None, str | None]], least: int = LEAST, inside: int = INSIDE, top: int = TOP) -> list[tuple]:

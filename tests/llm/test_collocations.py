@@ -51,8 +51,8 @@ def test_odd_tables(spark, odd_docs, no_docs):
 
 def test_packed_windows_come_back():
     block = C.Block()
-    block.add(b"en", [b"a", b"b", b"a", b"b"])
-    block.add(b"", [b""])
+    block.add(b"en", [[b"a", b"b"], [b"a", b"b"]])
+    block.add(b"", [[b""]])
     found = block.windows()
     back = C.Windows.unpack(found.pack())
 
