@@ -4,12 +4,15 @@ Each text starts from the raw ``events`` view, projects it onto the
 clickstream and the video log with the same fixed rules as
 ``playtrail.sources.fixture``, and computes the query with plain SQL windows
 over whole partitions (no chunking, no broadcast). It shares only the query
-parameters (dates, titles, thresholds) with the Spark side, no logic.
+parameters (dates, titles, thresholds) and the names of output columns with the Spark side, no logic.
 Computed doubles are rounded to 6 decimals on both sides.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
+from playtrail.functions.rules import rule_set
 from playtrail.plans.catalog import PARAMS
 
 TZ = "America/New_York"
@@ -551,11 +554,36 @@ FUNNEL_SELECT = f"""SELECT category, accounts, eligible_accounts,
 FROM (SELECT *, lag(accounts) OVER (ORDER BY accounts DESC, category ASC) AS eligible_accounts FROM stages)"""
 
 
+def _positions(sql: str, rs: str, keys: list[str]) -> str:
+    """Rows of a rule set's table numbered by ``keys``, ties by the other columns."""
+    order = ", ".join(f"{c} NULLS FIRST" for c in [*keys, *(c for c in rule_set(rs).output_columns if c not in keys)])
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({sql})"
+
+
 def oracle() -> dict[str, str]:
     ins = inputs()
     wide = PARAMS | {"wide": True}
     wins = inputs(wide)
     R4 = "R4"
+    monitor = w(attribution_table_sql() + f""",
+attributed AS (
+  SELECT event_date, count(DISTINCT account_id) AS accts, {r2('sum(final_watch_time) / 3600')} AS watched_hours
+  FROM attribution WHERE {period()} AND final_watch_time > 0 GROUP BY 1
+),
+logged AS (
+  SELECT event_date, count(DISTINCT account_id) AS sv_accts, {r2('sum(seconds_no_ads) / 3600')} AS sv_watch_hours
+  FROM video_log WHERE {period()} AND seconds_no_ads > 0 GROUP BY 1
+)""", f"""SELECT a.event_date, a.accts, a.watched_hours, l.sv_accts, l.sv_watch_hours,
+       {r2('a.accts / NULLIF(l.sv_accts, 0)')} AS acct_prc,
+       {r2('a.watched_hours / NULLIF(l.sv_watch_hours, 0)')} AS hours_prc
+FROM attributed a LEFT JOIN logged l ON a.event_date = l.event_date
+ORDER BY a.event_date DESC""")
+    first, last = (dt.date.fromisoformat(PARAMS[k]) for k in ("from_date", "to_date"))
+    # Each day by itself, with its own map.
+    every_day = "\nUNION ALL\n".join(
+        "SELECT * FROM (" + attribution_sql("R3", PARAMS | {"from_date": d, "to_date": d, "map_date": d}) + ")"
+        for d in (str(first + dt.timedelta(days=i)) for i in range((last - first).days + 1))
+    )
     out = {
         "normalize_titles": w(ins, f"SELECT video_id, display_name, {norm('display_name')} AS title_norm, "
                                    f"{norm('episode_title')} AS episode_norm FROM video_log"),
@@ -621,19 +649,8 @@ GROUP BY 1, 2, 3"""),
             _funnel_ctes(PARAMS | dict(zip(("source_title", "reached_title"), PARAMS["title_pairs"][1]))), FUNNEL_SELECT
         ),
         "return_viewers_pairs": "\nUNION ALL\n".join(_returners(*pair) for pair in PARAMS["title_pairs"]),
-        "coverage_monitor": w(attribution_table_sql() + f""",
-attributed AS (
-  SELECT event_date, count(DISTINCT account_id) AS accts, {r2('sum(final_watch_time) / 3600')} AS watched_hours
-  FROM attribution WHERE {period()} AND final_watch_time > 0 GROUP BY 1
-),
-logged AS (
-  SELECT event_date, count(DISTINCT account_id) AS sv_accts, {r2('sum(seconds_no_ads) / 3600')} AS sv_watch_hours
-  FROM video_log WHERE {period()} AND seconds_no_ads > 0 GROUP BY 1
-)""", f"""SELECT a.event_date, a.accts, a.watched_hours, l.sv_accts, l.sv_watch_hours,
-       {r2('a.accts / NULLIF(l.sv_accts, 0)')} AS acct_prc,
-       {r2('a.watched_hours / NULLIF(l.sv_watch_hours, 0)')} AS hours_prc
-FROM attributed a LEFT JOIN logged l ON a.event_date = l.event_date
-ORDER BY a.event_date DESC"""),
+        "return_viewers_clustered": "\nUNION ALL\n".join(_returners(*pair) for pair in PARAMS["title_pairs"]),
+        "coverage_monitor": monitor,
         "pruned": w(attribution_body("R2"), "SELECT " + select_list(
             ["account_id", "event_date", "event_ts", "last_action", "start_type", "device", "feeder_title",
              "feeder_video_id", "title", "video_id", "seconds_no_ads", "final_watch_time"]) + " FROM labelled"),
@@ -643,10 +660,17 @@ UNION ALL
 SELECT * FROM ({attribution_sql("R3", PARAMS | {"map_date": PARAMS["reload_day"]})})
 WHERE event_date = DATE '{PARAMS['reload_day']}'""",
         "replaced_table": attribution_sql("R2", PARAMS | {"to_date": PARAMS["week_end"]}),
-        "refreshed_days": "\nUNION ALL\n".join(
-            "SELECT * FROM (" + attribution_sql("R3", PARAMS | {"from_date": d, "to_date": d, "map_date": d}) + ")"
-            for d in PARAMS["refresh_days"]
-        ),
+        "refreshed_days": every_day,
+        "backfilled_days": every_day,
+        "yesterday_reload": f"""SELECT * FROM ({attribution_sql("R3")}) WHERE event_date < DATE '{PARAMS['yesterday']}'
+UNION ALL
+SELECT * FROM ({attribution_sql("R3", PARAMS | {"map_date": PARAMS["yesterday"]})})
+WHERE event_date = DATE '{PARAMS['yesterday']}'""",
+        "ordered_r1": _positions(attribution_sql("R1"), "R1", ["account_id", "event_date", "event_ts"]),
+        "ordered_r3": _positions(attribution_sql("R3"), "R3", ["account_id", "event_date", "device", "event_ts"]),
+        "ordered_monitor": f"SELECT *, row_number() OVER (ORDER BY event_date DESC) AS position FROM ({monitor})",
+        "monitor_from_sets": monitor,
+        "popular_from_sets": w(ins + "," + popular_ctes(), "SELECT event_date, title FROM popular"),
         "attribution_r1_shuffle_joins": attribution_sql("R1"),
         "attribution_r4_shuffle_joins": attribution_sql("R4"),
         "click_classes_r1_all_arms": _click_classes("R1", wide),

@@ -131,6 +131,11 @@ def coverage_monitor(attribution: DataFrame, videos: DataFrame, from_date, to_da
         .groupBy("event_date")
         .agg(F.count_distinct("account_id").alias("sv_accts"), _hours(F.sum("seconds_no_ads")).alias("sv_watch_hours"))
     )
+    return coverage_ratios(attributed, logged)
+
+
+def coverage_ratios(attributed: DataFrame, logged: DataFrame) -> DataFrame:
+    """The day's accounts and hours of both tables and their ratios, newest day first."""
     joined = attributed.join(logged, "event_date", "left")
     return joined.select(
         "event_date",

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.rules import RuleSet, rule_set
 from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
-from .clicks import apply_series_map, build_series_map, click_times, prepare_clicks
+from ..sources.readers import HIT_DAY
+from .clicks import _as_date, apply_series_map, build_daily_series_maps, build_series_map, click_times, prepare_clicks
 from .sequence import DEFAULT_HOT_KEY_ROWS, sequence_timeline
 from .videos import prepare_videos, video_times
 
@@ -133,6 +136,11 @@ def popular_titles(videos: DataFrame, from_date, to_date, min_accounts: int) ->
     popular = counts.where((_c("accounts") >= min_accounts) & _c("raw_title").isNotNull()).select(
         "event_date", C.normalize_title("raw_title").alias("title")
     )
+    return without_channels(popular, videos, from_date, to_date)
+
+
+def without_channels(popular: DataFrame, videos: DataFrame, from_date, to_date) -> DataFrame:
+    """Titles of a day that are not names of its linear channels."""
     channels = linear_channels(videos, from_date, to_date)
     # Neither side holds NULLs, so NOT IN is an anti join here.
     return popular.join(
@@ -174,13 +182,17 @@ def timeline_rows(
     to_date,
     map_date,
     *,
+    series_map: DataFrame | None = None,
     tz: str = C.NEW_YORK,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Mapped clicks and cleaned videos as one (unpartitioned) timeline."""
+    """Mapped clicks and cleaned videos as one (unpartitioned) timeline. The map
+    is ``series_map``, or that of ``map_date``."""
     r = rule_set(rules)
     ready = prepare_clicks(clicks, r, from_date, to_date, tz)
-    mapped = apply_series_map(ready, build_series_map(videos, map_date, r), max_broadcast_rows)
+    if series_map is None:
+        series_map = build_series_map(videos, map_date, r)
+    mapped = apply_series_map(ready, series_map, max_broadcast_rows)
     return mapped.unionByName(prepare_videos(videos, r, from_date, to_date))
 
 
@@ -192,15 +204,18 @@ def sequenced(
     to_date,
     map_date,
     *,
+    series_map: DataFrame | None = None,
     min_accounts: int = 10_000,
     tz: str = C.NEW_YORK,
     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+    hot_keys: DataFrame | None = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """The timeline with feeder, last action and islands."""
     r = rule_set(rules)
     timeline = timeline_rows(
-        clicks, videos, r, from_date, to_date, map_date, tz=tz, max_broadcast_rows=max_broadcast_rows
+        clicks, videos, r, from_date, to_date, map_date,
+        series_map=series_map, tz=tz, max_broadcast_rows=max_broadcast_rows,
     )
     between = None
     if r.popular_filter:
@@ -211,7 +226,7 @@ def sequenced(
             return df.join(side, ["event_date", "title"], "left_semi")
 
     times = None
-    if hot_key_rows is not None:
+    if hot_key_rows is not None and hot_keys is None:
         times = click_times(clicks, r, from_date, to_date, tz).unionByName(
             video_times(videos, r, from_date, to_date)
         )
@@ -221,6 +236,7 @@ def sequenced(
         between=between,
         times=times,
         hot_key_rows=hot_key_rows,
+        hot_keys=hot_keys,
         max_broadcast_rows=max_broadcast_rows,
     )
 
@@ -232,10 +248,12 @@ def build_attribution(
     *,
     from_date,
     to_date,
-    map_date,
+    map_date=None,
+    series_map: DataFrame | None = None,
     min_accounts: int = 10_000,
     tz: str = C.NEW_YORK,
     hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+    hot_keys: DataFrame | None = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     all_columns: bool = False,
 ) -> DataFrame:
@@ -243,9 +261,13 @@ def build_attribution(
     its watch time.
 
     ``map_date`` is the day of the video log the episode -> series map is
-    built from. ``min_accounts`` is R1's popularity threshold (per day).
+    built from, unless a ``series_map`` is given. ``min_accounts`` is R1's popularity threshold (per day).
     R1 is run for every day of the range; it is the union of its daily runs.
+    ``hot_keys`` (``hot_keys.known``) spares the look for account-days above
+    ``hot_key_rows``, which reads both inputs' account and time columns.
     """
+    if map_date is None and series_map is None:
+        raise ValueError("map_date or series_map is required")
     r = rule_set(rules)
     seq = sequenced(
         clicks,
@@ -254,9 +276,11 @@ def build_attribution(
         from_date,
         to_date,
         map_date,
+        series_map=series_map,
         min_accounts=min_accounts,
         tz=tz,
         hot_key_rows=hot_key_rows,
+        hot_keys=hot_keys,
         max_broadcast_rows=max_broadcast_rows,
     )
     out = label_and_credit(seq, r)
@@ -267,6 +291,52 @@ def build_attribution(
     return out.select(*r.output_columns)
 
 
+def build_days(
+    clicks: DataFrame,
+    videos: DataFrame,
+    days,
+    rules: RuleSet | str = "R3",
+    *,
+    map_date=None,
+    map_lag_days: int = 0,
+    tz: str = C.NEW_YORK,
+    **build_kwargs,
+) -> DataFrame:
+    """C18 for any number of days in one build: the rows of every day as a build of that day
+    alone gives them, with the map of ``map_lag_days`` before each day (or of ``map_date``
+    for all).
+
+    Each input is scanned once, on the day folders of these days only, and each row is
+    shuffled once, however many days there are. Where a rule set takes a click's day from
+    upstream, its clicks may have been hit a day earlier or later; these are read too.
+    """
+    r = rule_set(rules)
+    days = sorted({_as_date(d) for d in days})
+    around = dt.timedelta(days=1 if r.click_day_from_upstream else 0)
+    near = sorted({d + dt.timedelta(days=i) for d in days for i in (-1, 0, 1)})
+    click_day = _c("event_date") if r.click_day_from_upstream else C.local_date("hit_ts", tz)
+    own_clicks = clicks.where(click_day.isin(*map(F.lit, days)))
+    if HIT_DAY in clicks.columns:
+        # The UTC day of a hit lies within a day of its local day.
+        hit_days = near if not around else sorted({d + i * around for d in near for i in (-1, 0, 1)})
+        own_clicks = own_clicks.where(_c(HIT_DAY).isin(*map(F.lit, hit_days)))
+    if map_date is not None:
+        series_map = build_series_map(videos, map_date, r)
+    else:
+        series_map = build_daily_series_maps(videos, days, r, map_lag_days)
+    built = build_attribution(
+        own_clicks,
+        videos.where(_c("event_date").isin(*map(F.lit, days))),
+        r,
+        from_date=days[0] - around,
+        to_date=days[-1] + around,
+        series_map=series_map,
+        tz=tz,
+        **build_kwargs,
+    )
+    return built.where(_c("event_date").isin(*map(F.lit, days)))
+
+
 def presentation_order(df: DataFrame, rules: RuleSet | str) -> DataFrame:
     """O1/O2: the original's final ORDER BY (account, day[, device], time).
 

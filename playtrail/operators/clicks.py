@@ -6,12 +6,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.rules import RuleSet, rule_set
-from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, fits, materialize
 from ..sources.readers import HIT_DAY
 
 
@@ -119,22 +119,33 @@ def prepare_clicks(clicks: DataFrame, rules: RuleSet | str, from_date, to_date,
     )
 
 
-def series_counts(videos: DataFrame, map_date, rules: RuleSet | str = "R4") -> DataFrame:
-    """A1 + D10 + D15: plays per (episode, series) on one day of the video log."""
+def _plays_per_series(videos: DataFrame, rules: RuleSet | str, day: Column, keys: list[Column]) -> DataFrame:
+    """Plays of the days that ``day`` holds for, per ``keys``, episode and series."""
     r = rule_set(rules)
-    day = videos.where(
-        (F.col("event_date") == F.lit(str(map_date)).cast("date"))
-        & F.col("episode_title").isNotNull()
-        & ~F.lower("episode_title").isin(*r.stop_episodes)
-    )
+    plays = videos.where(day & F.col("episode_title").isNotNull() & ~F.lower("episode_title").isin(*r.stop_episodes))
     series = F.when(C.is_linear_channel("display_name", r.linear_channel_names), F.lit(None)).otherwise(
         C.normalize_title("display_name")
     )
-    return day.groupBy(C.normalize_title("episode_title").alias("episode"), series.alias("series")).agg(
+    return plays.groupBy(*keys, C.normalize_title("episode_title").alias("episode"), series.alias("series")).agg(
         F.count("display_name").alias("display_count")
     )
 
 
+def series_counts(videos: DataFrame, map_date, rules: RuleSet | str = "R4") -> DataFrame:
+    """A1 + D10 + D15: plays per (episode, series) on one day of the video log."""
+    return _plays_per_series(videos, rules, F.col("event_date") == F.lit(str(map_date)).cast("date"), [])
+
+
+def _most_played(counts: DataFrame, rules: RuleSet | str, keys: list[str]) -> DataFrame:
+    r = rule_set(rules)
+    counts = counts.where(F.col("series").isNotNull() & F.col("episode").isNotNull() & (F.col("episode") != "n/a"))
+    rank = F.dense_rank().over(Window.partitionBy(*keys, "episode").orderBy(F.col("display_count").desc()))
+    top = counts.select(*keys, "episode", "series", rank.alias("rk")).where(F.col("rk") == 1)
+    if r.post_map_exclusions:
+        top = top.where(~F.col("episode").isin(*r.post_map_exclusions))
+    return top.select(*keys, "episode", "series")
+
+
 def build_series_map(videos: DataFrame, map_date, rules: RuleSet | str = "R4") -> DataFrame:
     """The most played series of each episode title (ties kept).
 
@@ -143,15 +154,21 @@ def build_series_map(videos: DataFrame, map_date, rules: RuleSet | str = "R4") -
     the log grouped by title, so the map grows with the catalogue, not with
     the number of plays.
     """
-    r = rule_set(rules)
-    counts = series_counts(videos, map_date, r).where(
-        F.col("series").isNotNull() & F.col("episode").isNotNull() & (F.col("episode") != "n/a")
-    )
-    rank = F.dense_rank().over(Window.partitionBy("episode").orderBy(F.col("display_count").desc()))
-    top = counts.select("episode", "series", rank.alias("rk")).where(F.col("rk") == 1)
-    if r.post_map_exclusions:
-        top = top.where(~F.col("episode").isin(*r.post_map_exclusions))
-    return top.select("episode", "series")
+    return _most_played(series_counts(videos, map_date, rules), rules, [])
+
+
+def build_daily_series_maps(videos: DataFrame, days, rules: RuleSet | str = "R4", lag_days: int = 0) -> DataFrame:
+    """C2 for many days at once: (event_date, episode, series), the map that applies to each
+    of ``days``, built from the day ``lag_days`` before it. One scan and one shuffle
+    for all days; grouped by (day, title), so it grows with the catalogue and the days."""
+    sources = [d - dt.timedelta(days=lag_days) for d in map(_as_date, days)]
+    applies = F.date_add("event_date", lag_days).alias("event_date")
+    counts = _plays_per_series(videos, rules, F.col("event_date").isin(*map(F.lit, sources)), [applies])
+    return _most_played(counts, rules, ["event_date"])
+
+
+# Shares of a title's clicks in a shuffled map join.
+MAP_SALTS = 16
 
 
 def apply_series_map(
@@ -159,12 +176,28 @@ def apply_series_map(
 ) -> DataFrame:
     """Replace an episode title by its series; ties duplicate the click.
 
-    The map is broadcast when its checked size allows, so the click side is
-    not shuffled for this join.
+    A map with an ``event_date`` holds a map for each day, and a click meets that of its own day.
+    The map is broadcast when its checked size allows, so the click side is not shuffled for
+    this join. Above that bound both sides are shuffled by title and a salt: a title's clicks
+    are dealt out to ``MAP_SALTS`` shares, and the map, which is as large as the catalogue, is
+    repeated for each, so a title that half of all clicks name is no task's own.
     """
-    side, _ = bounded_broadcast(series_map, max_broadcast_rows, materialize_first=True)
-    m = side.select(F.col("episode").alias("_episode"), F.col("series").alias("_series"))
-    joined = clicks.join(m, clicks["title"] == m["_episode"], "left")
-    return joined.select(
-        *[F.coalesce("_series", "title").alias("title") if c == "title" else F.col(c) for c in clicks.columns]
-    )
+    daily = "event_date" in series_map.columns
+    side = materialize(series_map)
+    small, _ = fits(side, max_broadcast_rows)
+    day = [F.col("event_date").alias("_map_day")] if daily else []
+    m = side.select(F.col("episode").alias("_episode"), F.col("series").alias("_series"), *day)
+    left, columns = clicks, clicks.columns
+    if small:
+        m = F.broadcast(m)
+    else:
+        share = F.pmod(F.xxhash64("account_id", "event_ts", "click_details"), F.lit(MAP_SALTS)).cast("int")
+        left = clicks.withColumn("_share", share)
+        m = m.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(MAP_SALTS - 1))))
+    on = left["title"] == m["_episode"]
+    if daily:
+        on = on & (left["event_date"] == m["_map_day"])
+    if not small:
+        on = on & (left["_share"] == m["_salt"])
+    joined = left.join(m, on, "left")
+    return joined.select(*[F.coalesce("_series", left["title"]).alias("title") if c == "title" else left[c] for c in columns])

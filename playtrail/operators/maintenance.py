@@ -2,33 +2,35 @@
 
 The attribution table is stored ``partitionBy("event_date")``; writes are
 rebalanced by day so files have a sensible size however many tasks built
-the rows.
-
-* ``save_table`` replaces a whole table whatever the session's overwrite mode:
-  the new table is written beside the old one, then the folders are swapped.
-* ``reload_day`` recomputes one day into a staging folder first and then
-  commits it over the old partition: a recompute that fails leaves the old
-  day in place, an empty one removes it, and twice equals once.
-* ``prune_table`` never overwrites the path it reads: it writes a new copy
-  and swaps folders, because overwriting a path that is also being read
-  deletes the input before it is read.
-
-A table is named by its path, or by its name in the session's catalog
-(``schema.table``); the same operations then go through the catalog.
+the rows. A table is one of three kinds, and every operation here takes each:
+
+* versioned, by path (``save_table(..., versioned=True)``) or by its name in the catalog
+  (``schema.table``, the kind a new name gets): ``versions.py``. Replacing the table, or any
+  number of its days, is one commit: readers see the old table or the new one.
+* plain, by path: the folder holds nothing but ``event_date=...`` folders, so any reader can
+  read it. ``save_table`` writes a replacement beside the old table and swaps folders
+  (between the two renames a reader finds no table); days are staged first and then
+  committed over the old ones by the writer.
+* a catalog table that another program created: its partitions are replaced in place.
+
+``reload_days`` recomputes any number of days in one build and commits them together; a
+recompute that fails leaves the old days in place, an empty one removes its day, and twice
+equals once.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rules import RuleSet, rule_set
+from ..functions.rules import RuleSet
 from ..plans.guards import materialize
 from ..sources.readers import is_table_name, scan
-from .attribution import build_attribution
+from . import versions as V
+from .attribution import build_days
+from .clicks import _as_date
 
 # Working columns the original drops from a saved table.
 WORKING_COLUMNS = (
@@ -42,35 +44,33 @@ WORKING_COLUMNS = (
 )
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = V._fs(spark, path)
     return bool(fs.exists(p))
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
 def _rename(spark: SparkSession, src: str, dst: str) -> None:
-    fs, p = _fs(spark, src)
-    _, q = _fs(spark, dst)
+    fs, p = V._fs(spark, src)
+    _, q = V._fs(spark, dst)
     if not fs.rename(p, q):
         raise OSError(f"could not rename {src} to {dst}")
 
 
-# Row order inside each written file: clusters an account's day together.
-CLUSTER_ORDER = ("account_id", "device", "event_ts")
+def _versioned(spark: SparkSession, table: str) -> str | None:
+    """The folder of a versioned table (by path or name), or None for another kind."""
+    if is_table_name(table):
+        return V.named_path(spark, table)
+    return table if V.is_versioned(spark, table) else None
+
 
+def _shown(spark: SparkSession, table: str, path: str) -> None:
+    if is_table_name(table):
+        V.switch_view(spark, table, path)
 
-def save_table(df: DataFrame, path: str, partition: str = "event_date", mode: str = "overwrite") -> None:
+
+def save_table(
+    df: DataFrame, path: str, partition: str = "event_date", mode: str = "overwrite", versioned: bool = False
+) -> None:
     """Create or replace a day-partitioned table.
 
     The job's rows are hash-partitioned by account, so every task holds
@@ -79,18 +79,38 @@ def save_table(df: DataFrame, path: str, partition: str = "event_date", mode: st
     rows by day, splits a large day over several tasks (so no day lands in
     one task) and merges small ones. Inside each file rows are clustered by
     account, device and time.
+
+    A new table is versioned if its ``path`` is a catalog name or ``versioned`` is set; a table that
+    exists keeps its kind, but for a plain folder that ``versioned`` replaces.
     """
+    spark = df.sparkSession
+    folder = _versioned(spark, path)
+    if folder is None and is_table_name(path) and not spark.catalog.tableExists(V.qualified(spark, path)):
+        folder = V.new_path(spark, path)
+    if folder is not None or versioned:
+        if mode != "overwrite":
+            raise ValueError("a versioned table is replaced as a whole or by days, not appended to")
+        if folder is None and path_exists(spark, path):
+            # Another kind of folder: it goes once the versioned one stands beside it.
+            beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+            V.replace(df, beside, partition)
+            swap_table(spark, beside, path)
+            return
+        V.replace(df, folder or path, partition)
+        _shown(spark, path, folder or path)
+        return
     if is_table_name(path):
         # Built in full before the catalog drops the old table for the new one.
         df = materialize(df)
-    order = [partition] + [c for c in CLUSTER_ORDER if c in df.columns]
+    order = [partition] + [c for c in V.CLUSTER_ORDER if c in df.columns]
     writer = df.hint("rebalance", partition).sortWithinPartitions(*order).write.partitionBy(partition)
     if is_table_name(path):
-        writer.mode(mode).option("partitionOverwriteMode", "static").format("parquet").saveAsTable(path)
-    elif mode == "overwrite" and path_exists(df.sparkSession, path):
+        name = V.qualified(spark, path)
+        writer.mode(mode).option("partitionOverwriteMode", "static").format("parquet").saveAsTable(name)
+    elif mode == "overwrite" and path_exists(spark, path):
         new_path = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
         writer.parquet(new_path)
-        swap_table(df.sparkSession, new_path, path)
+        swap_table(spark, new_path, path)
     else:
         writer.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
 
@@ -101,70 +121,93 @@ def day_path(path: str, day, partition: str = "event_date") -> str:
 
 def delete_day(spark: SparkSession, path: str, day, partition: str = "event_date") -> None:
     """Remove one day's rows (its partition)."""
-    if is_table_name(path):
-        spark.sql(f"ALTER TABLE {path} DROP IF EXISTS PARTITION ({partition} = DATE'{day}')")
-        return
-    _delete(spark, day_path(path, day, partition))
+    folder = _versioned(spark, path)
+    if folder is not None:
+        V.delete_days(spark, folder, [day])
+        _shown(spark, path, folder)
+    elif is_table_name(path):
+        spark.sql(f"ALTER TABLE {V.qualified(spark, path)} DROP IF EXISTS PARTITION ({partition} = DATE'{day}')")
+    else:
+        V._delete(spark, day_path(path, day, partition))
 
 
 def replace_day(df: DataFrame, path: str, day, partition: str = "event_date") -> None:
     """Write ``df``'s rows of ``day`` as the new content of that day."""
+    replace_days(df, path, [day], partition)
+
+
+def replace_days(df: DataFrame, path: str, days, partition: str = "event_date") -> None:
+    """Write ``df``'s rows of ``days`` as the new content of these days, in one commit."""
     spark = df.sparkSession
+    folder = _versioned(spark, path)
+    if folder is not None:
+        V.replace_days(df, folder, days, partition)
+        _shown(spark, path, folder)
+        return
+    rows = df.where(F.col(partition).isin(*[F.lit(str(d)).cast("date") for d in days]))
     if is_table_name(path):
-        _replace_partition(df, path, day, partition)
+        staged = materialize(rows)
+        name = V.qualified(spark, path)
+        staged.select(*spark.table(name).columns).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).insertInto(name)
+        _drop_missing(spark, staged, path, days, partition)
         return
     staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    rows = df.where(F.col(partition) == F.lit(str(day)).cast("date"))
     try:
         save_table(rows, staging, partition)
-        if path_exists(spark, day_path(staging, day, partition)):
-            # The writer's commit replaces the day's folder; until then the old day stands.
-            staged = spark.read.schema(rows.schema).parquet(staging)
-            writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(partition).parquet(path)
-        else:
-            delete_day(spark, path, day, partition)
+        staged = spark.read.schema(rows.schema).parquet(staging)
+        # The writer's commit replaces the days' folders; until then the old days stand.
+        writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(partition).parquet(path)
+        _drop_missing(spark, staged, path, days, partition)
     finally:
-        _delete(spark, staging)
+        V._delete(spark, staging)
 
 
-def _replace_partition(df: DataFrame, table: str, day, partition: str) -> None:
-    """``replace_day`` of a catalog table: staged, then one static partition overwrite."""
-    spark = df.sparkSession
-    staged = materialize(df.where(F.col(partition) == F.lit(str(day)).cast("date")))
-    if staged.isEmpty():
-        delete_day(spark, table, day, partition)
-        return
-    columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != partition)
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({partition} = DATE'{day}') SELECT {columns} FROM {{staged}}",
-        staged=staged,
-    )
+def _drop_missing(spark: SparkSession, staged: DataFrame, path: str, days, partition: str) -> None:
+    """Days that were recomputed and have no rows leave the table."""
+    found = {str(r[0]) for r in staged.select(partition).distinct().collect()}
+    for day in days:
+        if str(day) not in found:
+            delete_day(spark, path, day, partition)
 
 
-def reload_day(
+def reload_days(
     clicks: DataFrame,
     videos: DataFrame,
     path: str,
-    day,
+    days,
     rules: RuleSet | str = "R3",
+    *,
     map_date=None,
+    map_lag_days: int = 0,
     **build_kwargs,
 ) -> None:
-    """Recompute ``day`` with a rule set and put it in place.
+    """Recompute ``days`` with a rule set in one build and put them in place together.
 
-    ``map_date`` defaults to ``day`` itself: the reloaded day is the last
-    finished one, and its map is built from the same day's log. Where a rule
-    set takes a click's day from upstream, its clicks may have been hit a day
-    earlier or later; these are read too, so the day equals that of a longer build.
+    Each day's map is built from the log of ``map_lag_days`` before it (0: the day itself, the last
+    finished one when it is reloaded), or all from ``map_date``.
     """
-    r = rule_set(rules)
-    day = day if isinstance(day, dt.date) else dt.date.fromisoformat(str(day))
-    around = dt.timedelta(days=1 if r.click_day_from_upstream else 0)
-    recomputed = build_attribution(
-        clicks, videos, r, from_date=day - around, to_date=day + around, map_date=map_date or day, **build_kwargs
-    )
-    replace_day(recomputed, path, day)
+    days = sorted({_as_date(d) for d in days})
+    if days:
+        built = build_days(
+            clicks, videos, days, rules, map_date=map_date, map_lag_days=map_lag_days, **build_kwargs
+        )
+        replace_days(built, path, days)
+
+
+def reload_day(
+    clicks: DataFrame,
+    videos: DataFrame,
+    path: str,
+    day,
+    rules: RuleSet | str = "R3",
+    map_date=None,
+    **build_kwargs,
+) -> None:
+    """S9 / C18 for one day; ``map_date`` defaults to the day itself."""
+    reload_days(clicks, videos, path, [day], rules, map_date=map_date, **build_kwargs)
 
 
 def prune_columns(df: DataFrame, columns=WORKING_COLUMNS) -> DataFrame:
@@ -184,16 +227,10 @@ def swap_table(spark: SparkSession, new_path: str, path: str) -> None:
         if replaced:
             _rename(spark, old, path)
         raise
-    _delete(spark, old)
+    V._delete(spark, old)
 
 
 def prune_table(spark: SparkSession, path: str, columns=WORKING_COLUMNS, partition: str = "event_date") -> None:
-    """Drop working columns from a saved table by writing a copy and swapping
-    (a catalog table is replaced by its staged copy)."""
-    pruned = prune_columns(scan(spark, path), columns)
-    if is_table_name(path):
-        save_table(pruned, path, partition)
-        return
-    new_path = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
-    save_table(pruned, new_path, partition)
-    swap_table(spark, new_path, path)
+    """Drop working columns from a saved table. The path that is read is never written over:
+    the copy is a new version, or a folder that takes the place of the old one."""
+    save_table(prune_columns(scan(spark, path), columns), path, partition)

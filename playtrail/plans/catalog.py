@@ -8,6 +8,7 @@ oracle SQL applies.
 
 from __future__ import annotations
 
+import datetime as dt
 import threading
 import uuid
 from collections.abc import Callable
@@ -19,7 +20,9 @@ from pyspark.sql.types import DoubleType
 from ..functions import columns as C
 from ..functions.rules import rule_set
 from ..operators import analytics as A
+from ..operators import audience
 from ..operators import maintenance as M
+from ..operators import versions as V
 from ..operators.attribution import (
     build_attribution,
     label_and_credit,
@@ -35,10 +38,13 @@ from ..operators.clicks import (
     prepare_clicks,
     series_counts,
 )
+from ..operators.clustered import save_clustered
+from ..operators.ordering import with_positions
 from ..operators.videos import prepare_videos
 from ..sources.fixture import fixture_tables
 from ..streaming.daily import refresh_new_days
-from .guards import checkpoint_dir
+from . import script
+from .guards import checkpoint_dir, materialize
 
 PARAMS = {
     # The whole month of the test data; the map is built from its last full day.
@@ -68,8 +74,12 @@ PARAMS = {
     "shared_hot_key_rows": 25,
     # Title pairs (source, reached) with viewers who return in the test data.
     "title_pairs": [("show 0", "show 2"), ("show 2", "show 3"), ("show 3", "show 4"), ("show 1", "show 2")],
-    # Days that land one after another in the refresh query.
-    "refresh_days": ["2024-01-10", "2024-01-11", "2024-01-12"],
+    # The refresh query: all days but the last land first, without a third of the late day's clicks.
+    "late_day": "2024-01-11",
+    "last_day": "2024-01-31",
+    # The clock (UTC) of the query that reloads yesterday; in New York it is still the 14th.
+    "clock": "2024-01-15 04:30:00",
+    "yesterday": "2024-01-13",
 }
 
 ROUNDED = {"island_seconds", "watch_time_start", "watch_time_carry", "final_watch_time", "watch_time"}
@@ -355,7 +365,10 @@ def return_viewers(spark, sf_dir):
 
 
 def return_viewers_pairs(spark, sf_dir):
-    attribution, _ = _r4_table(spark, sf_dir)
+    return _pairs_of(_r4_table(spark, sf_dir)[0])
+
+
+def _pairs_of(attribution):
     out = None
     for source, reached in PARAMS["title_pairs"]:
         found = A.return_viewers(attribution, source, reached, *_period())
@@ -364,6 +377,18 @@ def return_viewers_pairs(spark, sf_dir):
     return out
 
 
+def return_viewers_clustered(spark, sf_dir):
+    """``return_viewers_pairs`` on the copy of the table that is bucketed by account and ordered by title."""
+    attribution, _ = _r4_table(spark, sf_dir)
+    with _SAVING:
+        key = (spark.sparkContext.applicationId, f"clustered:{sf_dir}")
+        if key not in _SAVED:
+            name = f"attribution_{uuid.uuid4().hex}"
+            save_clustered(attribution, name, 8, _scratch_table(spark, name))
+            _SAVED[key] = name
+    return _pairs_of(spark.table(_SAVED[key]))
+
+
 def funnel_returning(spark, sf_dir):
     attribution, videos = _r4_table(spark, sf_dir)
     return A.funnel(attribution, videos, *PARAMS["title_pairs"][1], *_period())
@@ -421,14 +446,15 @@ def replaced_table(spark, sf_dir):
 
 
 def refreshed_days(spark, sf_dir):
-    """Two landings of files (a new day and late clicks of an old one), each refreshed."""
+    """All days in two landings of files (the last day and late clicks of an old one come later), each refreshed
+    in one build."""
     clicks, videos = _inputs(spark, sf_dir)
     base = _scratch_table(spark, "refresh")
-    *first, last = [F.lit(d).cast("date") for d in PARAMS["refresh_days"]]
-    late = (F.col("event_date") == first[-1]) & (F.minute("hit_ts") % 3 == 0)
+    last, late_day = (F.lit(PARAMS[k]).cast("date") for k in ("last_day", "late_day"))
+    late = (C.local_date("hit_ts") == last) | ((F.col("event_date") == late_day) & (F.minute("hit_ts") % 3 == 0))
     landings = [
-        (clicks.where(F.col("event_date").isin(*first) & ~late), videos.where(F.col("event_date").isin(*first))),
-        (clicks.where((F.col("event_date") == last) | late), videos.where(F.col("event_date") == last)),
+        (clicks.where(~late), videos.where(F.col("event_date") != last)),
+        (clicks.where(late), videos.where(F.col("event_date") == last)),
     ]
     for new_clicks, new_videos in landings:
         new_clicks.write.mode("append").partitionBy("hit_day").parquet(f"{base}/clickstream")
@@ -437,7 +463,80 @@ def refreshed_days(spark, sf_dir):
             spark, f"{base}/clickstream", f"{base}/video_log", f"{base}/table", rules=_rules("R3"),
             progress_path=f"{base}/progress",
         )
-    return rounded(spark.read.parquet(f"{base}/table").select(*rule_set("R3").output_columns))
+    days = F.col("event_date").between(*(F.lit(d).cast("date") for d in _period()))
+    return rounded(spark.read.parquet(f"{base}/table").where(days).select(*rule_set("R3").output_columns))
+
+
+def backfilled_days(spark, sf_dir):
+    """A versioned table whose days are all recomputed in one build, each with its own day's map; it held
+    wrong rows of every day before."""
+    clicks, videos = _inputs(spark, sf_dir)
+    path = _scratch_table(spark, "backfill")
+    M.save_table(_attribution(spark, sf_dir, "R3").withColumn("title", F.lit("wrong")), path, versioned=True)
+    first, last = (dt.date.fromisoformat(d) for d in _period())
+    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    M.reload_days(clicks, videos, path, days, _rules("R3"))
+    return rounded(V.read(spark, path).select(*rule_set("R3").output_columns))
+
+
+def yesterday_reload(spark, sf_dir):
+    """The daily job by its script variables: as of a fixed clock, yesterday in New York is recomputed in a versioned
+    table, and the report reads the table by the session's dates."""
+    clicks, videos = _inputs(spark, sf_dir)
+    path = _scratch_table(spark, "daily")
+    script.declare(spark, clock=PARAMS["clock"], from_date=PARAMS["from_date"])
+    built = _attribution(spark, sf_dir, "R3")
+    wrong = F.col("event_date") == F.lit(PARAMS["yesterday"]).cast("date")
+    M.save_table(built.withColumn("title", F.when(wrong, F.lit("wrong")).otherwise(F.col("title"))), path, versioned=True)
+    M.reload_day(clicks, videos, path, script.variables(spark)["reload_day"], _rules("R3"))
+    columns = ", ".join(rule_set("R3").output_columns)
+    found = spark.sql(
+        f"SELECT {columns} FROM {{saved}} WHERE event_date BETWEEN from_date AND to_date", saved=V.read(spark, path)
+    )
+    # The variables are the session's, and another query of it may set them: the dates are read now.
+    return rounded(materialize(found))
+
+
+# --- final order ----------------------------------------------------------
+
+
+def _ordered(name: str, keys: list[str]):
+    def query(spark, sf_dir):
+        return with_positions(rounded(_attribution(spark, sf_dir, name)), keys)
+
+    return query
+
+
+def ordered_monitor(spark, sf_dir):
+    return with_positions(coverage_monitor(spark, sf_dir), ["event_date"], descending=("event_date",))
+
+
+# --- reports from kept account sets ---------------------------------------
+
+
+def _sets(spark, sf_dir) -> DataFrame:
+    """The side table of account sets, kept in two updates that share a day; written once a session and folder."""
+    attribution, videos = _r4_table(spark, sf_dir)
+    with _SAVING:
+        key = (spark.sparkContext.applicationId, f"sets:{sf_dir}")
+        if key not in _SAVED:
+            path = _scratch_table(spark, "audience")
+            first, last = (dt.date.fromisoformat(d) for d in _period())
+            days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+            played = audience.plays(videos, attribution)
+            audience.update(played, path, days[: len(days) // 2])
+            audience.update(played, path, days[len(days) // 2 - 1 :])
+            _SAVED[key] = path
+    return audience.read_sets(spark, _SAVED[key], *_period())
+
+
+def monitor_from_sets(spark, sf_dir):
+    return audience.monitor(_sets(spark, sf_dir))
+
+
+def popular_from_sets(spark, sf_dir):
+    _, videos = _inputs(spark, sf_dir)
+    return audience.popular(_sets(spark, sf_dir), videos, *_period(), PARAMS["min_accounts"])
 
 
 # --- every arm of the rules -----------------------------------------------
@@ -502,7 +601,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reloaded_day": reloaded_day,
     "replaced_table": replaced_table,
     "refreshed_days": refreshed_days,
+    "backfilled_days": backfilled_days,
+    "yesterday_reload": yesterday_reload,
+    "ordered_r1": _ordered("R1", ["account_id", "event_date", "event_ts"]),
+    "ordered_r3": _ordered("R3", ["account_id", "event_date", "device", "event_ts"]),
+    "ordered_monitor": ordered_monitor,
+    "monitor_from_sets": monitor_from_sets,
+    "popular_from_sets": popular_from_sets,
     "return_viewers_pairs": return_viewers_pairs,
+    "return_viewers_clustered": return_viewers_clustered,
     "funnel_returning": funnel_returning,
     # Joins that no side may be broadcast for.
     "attribution_r1_shuffle_joins": _attribution_q("R1", max_broadcast_rows=0),

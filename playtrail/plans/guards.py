@@ -59,6 +59,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def fits(
+    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> tuple[bool, int]:
+    """(is it small enough to broadcast, rows): at most ``max_rows`` rows and
+    ``max_bytes`` bytes (of its rows spelled out, keys left out)."""
+    width = F.octet_length(F.array_join(F.array(*[F.col(c).cast("string") for c in df.columns]), ","))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return rows <= max_rows and (size or 0) <= max_bytes, rows
+
+
 def bounded_broadcast(
     df: DataFrame,
     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
@@ -75,8 +85,5 @@ def bounded_broadcast(
     """
     if materialize_first:
         df = materialize(df)
-    width = F.octet_length(F.array_join(F.array(*[F.col(c).cast("string") for c in df.columns]), ","))
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
-    if rows <= max_rows and (size or 0) <= max_bytes:
-        return F.broadcast(df), rows
-    return df, rows
+    small, rows = fits(df, max_rows, max_bytes)
+    return (F.broadcast(df) if small else df), rows

@@ -69,8 +69,15 @@ def is_table_name(source: str) -> bool:
 
 
 def scan(spark: SparkSession, source: str) -> DataFrame:
-    """A catalog table by its name, or the Parquet files below a path."""
-    return spark.table(source) if is_table_name(source) else spark.read.parquet(source)
+    """A catalog table by its name, or the table at a path: its last commit where it is
+    versioned, else the Parquet files below it. A name without a schema is a table of the current
+    schema; a temporary view of that name is read only where there is none."""
+    from ..operators import versions
+
+    if is_table_name(source):
+        full = versions.qualified(spark, source)
+        return spark.table(full if spark.catalog.tableExists(full) else source)
+    return versions.read(spark, source) if versions.is_versioned(spark, source) else spark.read.parquet(source)
 
 
 def read_clickstream(spark: SparkSession, path: str) -> DataFrame:

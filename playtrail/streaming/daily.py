@@ -6,8 +6,9 @@ Structured Streaming query over both inputs: the file sources notice new
 files of the video log and of the clickstream (late clicks refresh their day
 too), each micro-batch names the days it touched (a handful of dates, the
 only thing that reaches the driver), reads both inputs anew by path, so that
-it sees every file that has landed, and recomputes and replaces every such
-day with ``reload_day`` (idempotent, so a retried micro-batch does no harm).
+it sees every file that has landed, and recomputes all these days in one build
+and replaces them together with ``reload_days`` (idempotent, so a retried
+micro-batch does no harm): a backfill of 92 days is one scan and one shuffle.
 ``trigger(availableNow=True)`` processes whatever has arrived and stops,
 which is how a daily scheduler runs it; the stream's progress is kept in a
 checkpoint folder on shared storage.
@@ -15,7 +16,6 @@ checkpoint folder on shared storage.
 
 from __future__ import annotations
 
-import datetime as dt
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import local_date
 from ..functions.rules import RuleSet, rule_set
-from ..operators.maintenance import reload_day
+from ..operators.maintenance import reload_days
 from ..plans.guards import shared_dir
 from ..sources.readers import read_clickstream, read_video_log
 
@@ -59,17 +59,16 @@ def refresh_new_days(
     )
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        days = sorted(row.event_date for row in batch.where(F.col("event_date").isNotNull()).distinct().collect())
-        for day in days:
-            reload_day(
-                read_clickstream(spark, clickstream_path),
-                read_video_log(spark, video_log_path),
-                table_path,
-                day,
-                r,
-                map_date=day - dt.timedelta(days=map_lag_days),
-                **build_kwargs,
-            )
+        touched = batch.where(F.col("event_date").isNotNull()).distinct().collect()
+        reload_days(
+            read_clickstream(spark, clickstream_path),
+            read_video_log(spark, video_log_path),
+            table_path,
+            [row.event_date for row in touched],
+            r,
+            map_lag_days=map_lag_days,
+            **build_kwargs,
+        )
 
     query = (
         days_stream.writeStream.foreachBatch(refresh)

@@ -65,8 +65,11 @@ def test_parameterised_report_over_a_view(spark, tables):
         from_date=PARAMS["from_date"], to_date=PARAMS["to_date"], map_date=PARAMS["map_date"],
     )
     register_views(spark, attribution=built)
-    rows = spark.sql(
-        "SELECT start_type, count(*) AS n FROM attribution WHERE event_date BETWEEN :a AND :b GROUP BY 1",
-        args={"a": PARAMS["from_date"], "b": PARAMS["to_date"]},
-    ).collect()
+    try:
+        rows = spark.sql(
+            "SELECT start_type, count(*) AS n FROM attribution WHERE event_date BETWEEN :a AND :b GROUP BY 1",
+            args={"a": PARAMS["from_date"], "b": PARAMS["to_date"]},
+        ).collect()
+    finally:
+        spark.catalog.dropTempView("attribution")
     assert {r.start_type: r.n for r in rows} == {"Manual-Selection": 2908, "Clicked-Up-Next": 128, "Auto-Play": 72}
