@@ -4,8 +4,8 @@ Paragraphs are the lines of a text. Features are the word 1-, 2- and 3-grams of
 the licence templates (so a paragraph without any of them has the score of an
 empty one). A softmax regression is trained on variants of the templates
 (words left out, taken from the corpus in front and behind, case) against an unknown
-class: up to ``MAX_UNKNOWN`` paragraphs of the corpus, those of smallest hash among the ones
-of 2,000 characters or fewer, less those that share a 3-gram with a template, and sentences that speak of licences without granting one. Its
+class: up to ``MAX_UNKNOWN`` distinct paragraphs of the corpus, those of smallest hash among the ones
+of ``LONGEST`` characters or fewer (bounds of the sample to fit on only), less those that share a 3-gram with a template, and sentences that speak of licences without granting one. Its
 logits are divided by a temperature fitted on a held-out fifth of the variants
 (calibration); a family is predicted only if its probability is at least
 ``LIKELY`` and above the unknown class.
@@ -37,21 +37,94 @@ from playtrail.llm.common import text_chunks
 MAX_UNKNOWN = 2_000
 LIKELY = 0.6
 CONFIRM = 0.6
+VARIANTS = 24  # of each template
+LONGEST = 2_000  # characters of a paragraph in the sample to fit on
+SPARE = 4  # times as many lines as wanted, for copies
 
-# Short notices of the licence families.
+# Notices of the licence families: in a sentence, as title, as identifier, as standard
+# header, and the paragraphs of the licence texts that grant or forbid.
 TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0", "This file is licensed to you under the Apache License 2.0"],
-    "MIT": ["Released under the MIT License", "This software is licensed under the MIT license"],
-    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted", "Licensed under the BSD 3-Clause License"],
-    "GPL": ["This work is licensed under the GNU General Public License, version 3", "under the terms of the GNU General Public License as published by the Free Software Foundation"],
-    "LGPL": ["under the terms of the GNU Lesser General Public License", "Licensed under the GNU LGPL, version 2.1"],
-    "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
-    "CC-BY": ["This work is licensed under a Creative Commons Attribution 4.0 International License", "Licensed under CC BY 4.0"],
-    "CC-BY-SA": ["Licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 License"],
-    "CC-BY-NC": ["Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 License"],
-    "CC0": ["To the extent possible under law, the author has waived all copyright, CC0 1.0 Universal", "Dedicated to the public domain"],
-    "Proprietary": ["All rights reserved", "No part of this publication may be reproduced without permission"],
-}
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0",
+        "This file is licensed to you under the Apache License 2.0",
+        "Apache License, Version 2.0",
+        "SPDX-License-Identifier: Apache-2.0",
+        "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+        "each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work",
+    ],
+    "MIT": [
+        "Released under the MIT License",
+        "This software is licensed under the MIT license",
+        "The MIT License (MIT)",
+        "MIT License",
+        "SPDX-License-Identifier: MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+    ],
+    "BSD": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "Licensed under the BSD 3-Clause License",
+        "BSD 2-Clause License",
+        "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation",
+        "may be used to endorse or promote products derived from this software without specific prior written permission",
+    ],
+    "GPL": [
+        "This work is licensed under the GNU General Public License, version 3",
+        "under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "Licensed under the GNU General Public License v2",
+        "GNU General Public License",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+    ],
+    "LGPL": [
+        "under the terms of the GNU Lesser General Public License",
+        "Licensed under the GNU LGPL, version 2.1",
+        "GNU Lesser General Public License",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-only",
+    ],
+    "MPL": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+        "Mozilla Public License Version 2.0",
+        "SPDX-License-Identifier: MPL-2.0",
+    ],
+    "CC-BY": [
+        "This work is licensed under a Creative Commons Attribution 4.0 International License",
+        "Licensed under CC BY 4.0",
+        "Creative Commons Attribution 4.0 International",
+        "SPDX-License-Identifier: CC-BY-4.0",
+    ],
+    "CC-BY-SA": [
+        "Licensed under CC BY-SA 4.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 License",
+        "Creative Commons Attribution-ShareAlike 4.0 International",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
+    ],
+    "CC-BY-NC": [
+        "Licensed under CC BY-NC 4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 License",
+        "Creative Commons Attribution-NonCommercial 4.0 International",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
+    ],
+    "CC0": [
+        "To the extent possible under law, the author has waived all copyright, CC0 1.0 Universal",
+        "Dedicated to the public domain",
+        "CC0 1.0 Universal",
+        "SPDX-License-Identifier: CC0-1.0",
+    ],
+    "Proprietary": [
+        "All rights reserved",
+        "No part of this publication may be reproduced without permission",
+        "No part of this publication may be reproduced, distributed, or transmitted in any form or by any means, without the prior written permission of the publisher",
+        "SPDX-License-Identifier: LicenseRef-Proprietary",
+    ],
+}
 UNRELATED = [
     "He lost his driving license last year", "The license fee has to be paid in advance", "a public library with general rules",
     "The version of the story is not clear", "Rights of way are reserved for trams", "the terms of the contract were published",
@@ -144,7 +217,7 @@ def _variants(fillers: list[str], seed: int = 11) -> tuple[np.ndarray, np.ndarra
     words = [w for f in fillers for w in f.split()][:20_000] or ["and", "the"]
     rows, classes = [], []
     for k, family in enumerate(FAMILIES):
-        for n in range(60):
+        for n in range(VARIANTS * len(TEMPLATES[family])):
             own = TEMPLATES[family][n % len(TEMPLATES[family])].split()
             if n >= 2 * len(TEMPLATES[family]) and len(own) > 4:
                 own = [w for w in own if rng.random() > 0.08]
@@ -160,7 +233,13 @@ def _variants(fillers: list[str], seed: int = 11) -> tuple[np.ndarray, np.ndarra
 def train(docs: DataFrame, max_unknown: int = MAX_UNKNOWN) -> Classifier:
     """Fit on template variants and a bounded sample of the corpus's paragraphs."""
     lines = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n")).alias("line")).filter("line <> ''")
-    found = lines.filter(F.length("line") <= 2000).orderBy(F.xxhash64("line"), "line").limit(max_unknown).collect()  # max_unknown rows at most
+    lines = lines.filter(F.length("line") <= LONGEST).select("line", F.shiftrightunsigned(F.xxhash64("line"), 1).alias("hash"))
+    total = lines.count()
+    # Those of smallest hash are some among the lowest hashes: of these, distinct lines (copies are one
+    # line), so that a few thousand rows are sorted however large the corpus is.
+    share = min(1.0, SPARE * max_unknown / max(1, total))
+    low = lines.filter(F.col("hash") <= min(int(share * (1 << 63)), (1 << 63) - 1)).distinct()
+    found = low.coalesce(1).orderBy("hash", "line").limit(max_unknown).collect()  # max_unknown rows at most
     three = {g for g in VOCABULARY if g.count(" ") == 2}
     fillers = [r["line"] for r in found if three.isdisjoint(grams(r["line"]))]
     x, y = _variants(fillers)

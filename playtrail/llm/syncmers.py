@@ -6,12 +6,15 @@ hash among its s-mers lies at its first or last s-mer. Whether a k-mer is chosen
 depends on its own bytes only, so a shared passage gives the same anchors in
 any document, at positions that differ by one offset.
 
-The fingerprint is the sketch of the ``SKETCH`` anchors with the smallest
-hashes, each as 8 hexadecimal digits of hash and its position in hexadecimal,
-joined by commas in order of hash. The likeness of two fingerprints is the
-bottom-k estimate of the Jaccard index of their anchors, where shared anchors count only
-as far as they lie in the same order in both texts (longest increasing run of
-positions): 1 for equal texts, 0 for texts without a common anchor.
+The fingerprint of a text is all its anchors with their places. Written as a string it has a
+digest of all of them, then those that a rule picks, hash and place: every anchor
+whose hash is in the lowest 1 / ``SHARE``, and the ``SKETCH`` smallest in any case, so
+that the string grows with the text. A window of ``K - S + 1`` k-mers always holds an
+anchor, so a change of one character anywhere changes the digest. The likeness
+of two fingerprints is the Jaccard index of their anchors, where shared anchors count
+only as far as they lie in the same order in both texts (longest increasing run of
+places): 1 for equal texts, 0 for texts without a common anchor, and above it for a
+shared passage of any two texts, however long they are.
 
 Each document's successor in descending order of doc_id is found without a
 global sort: ranges of doc_id from approximate quantiles, one shuffle by range,
@@ -30,6 +33,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +41,8 @@ from playtrail.llm.common import shuffle_parts, text_chunks
 
 K = 16
 S = 8
-SKETCH = 64
+SKETCH = 64  # anchors in a fingerprint's string at least, and
+SHARE = 16  # one in so many of the text's
 CHUNK = 1 << 18
 
 
@@ -74,38 +79,44 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(places)
 
 
-def sketch(data: bytes, size: int = SKETCH) -> list[tuple[int, int]]:
-    """The anchors of smallest hash (32 bits of it), each at its first position."""
-    hashes, places = anchors(data)
-    hashes = (hashes >> np.uint64(32)).astype(np.int64)
-    if len(hashes) > 4 * size:  # what a stable sort must see: all up to the size-th distinct value
-        few = np.unique(hashes)[:size]
-        keep = hashes <= few[-1]
-        hashes, places = hashes[keep], places[keep]
-    order = np.lexsort((places, hashes))
-    hashes, places = hashes[order], places[order]
-    first = np.ones(len(hashes), bool)
-    first[1:] = hashes[1:] != hashes[:-1]
-    return list(zip(hashes[first][:size].tolist(), places[first][:size].tolist()))
-
-
-def spell(entries: list[tuple[int, int]]) -> str:
-    """A sketch as a string."""
-    return ",".join([f"{h:08x}{p:x}" for h, p in entries])
-
-
-def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]], size: int = SKETCH) -> float:
-    """Share of common, equally ordered anchors among the smallest of both sketches."""
-    if not a or not b:
-        return float(not a and not b)
-    at_a, at_b = dict(a), dict(b)
-    smallest = sorted(at_a.keys() | at_b.keys())[:size]
-    shared = sorted((at_a[h], at_b[h]) for h in smallest if h in at_a and h in at_b)
+class Fingerprint:
+    """The anchors of a text: distinct hashes in order, each at its first place, and a digest
+    of all anchors with all their places."""
+
+    def __init__(self, hashes: np.ndarray, places: np.ndarray):
+        self.digest = xxhash.xxh3_64_hexdigest(hashes.tobytes() + places.tobytes()) if len(hashes) else ""
+        self.hashes, first = np.unique(hashes, return_index=True)  # the first of equal ones
+        self.places = places[first]
+
+
+def sketch(data: bytes) -> Fingerprint:
+    """The fingerprint of a text."""
+    return Fingerprint(*anchors(data))
+
+
+def spell(own: Fingerprint, size: int = SKETCH) -> str:
+    """A fingerprint as a string; empty for an empty text."""
+    if not own.digest:
+        return ""
+    count = max(size, int(np.searchsorted(own.hashes, np.uint64((1 << 64) // SHARE))))
+    entries = zip((own.hashes[:count] >> np.uint64(32)).tolist(), own.places[:count].tolist())
+    return own.digest + ":" + ",".join([f"{h:08x}{p:x}" for h, p in entries])
+
+
+def likeness(a: Fingerprint, b: Fingerprint) -> float:
+    """Share of common, equally ordered anchors among all anchors of both."""
+    if not len(a.hashes) or not len(b.hashes):
+        return float(len(a.hashes) == len(b.hashes))
+    shared, at_a, at_b = np.intersect1d(a.hashes, b.hashes, assume_unique=True, return_indices=True)
+    if not len(shared):
+        return 0.0
     tails: list[int] = []
-    for _, place in shared:
-        k = bisect_left(tails, place)
-        tails[k : k + 1] = [place]
-    return len(tails) / len(smallest)
+    for place in b.places[at_b][np.argsort(a.places[at_a])].tolist():
+        if not tails or place > tails[-1]:
+            tails.append(place)
+        else:
+            tails[bisect_left(tails, place)] = place
+    return len(tails) / (len(a.hashes) + len(b.hashes) - len(shared))
 
 
 def edited(text: str, following: str) -> str:
@@ -153,9 +164,9 @@ def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, str, str]]:
             held = None if ahead else (place, doc, text)
 
 
-def fingerprints(docs: DataFrame, size: int = SKETCH, parts: int | None = None) -> DataFrame:
+def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next, n_anchors."""
+    edited_fingerprint, near_edited, near_next."""
     schema = (
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
         "edited_fingerprint string, near_edited double, near_next double"
@@ -163,16 +174,16 @@ def fingerprints(docs: DataFrame, size: int = SKETCH, parts: int | None = None)
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, last = [], (None, [])
+        rows, last = [], (None, None)
         for doc, text, following in _pairs(batches):
-            own = last[1] if last[0] == text else sketch(text.encode(), size)
-            other = sketch(following.encode(), size)
+            own = last[1] if last[0] == text else sketch(text.encode())
+            other = sketch(following.encode())
             last = (following, other)
             new = edited(text, following)
-            changed = own if new == text else sketch(new.encode(), size)
+            changed = own if new == text else sketch(new.encode())
             rows.append(
                 (doc, len(text), hashlib.sha256(new.encode()).hexdigest(), spell(own), spell(changed),
-                 likeness(own, changed, size), likeness(own, other, size))
+                 likeness(own, changed), likeness(own, other))
             )
             if len(rows) >= 512:
                 yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*rows)))), _arrow(names))

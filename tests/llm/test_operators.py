@@ -388,6 +388,52 @@ def test_syncmer_rows_follow_the_order_of_ids(spark, parts):
         assert 0 <= got["near_edited"] <= 1 and syncmers.likeness(one, one) == 1
 
 
+def test_one_changed_character_changes_the_fingerprint():
+    rnd = random.Random(8)
+    text = "".join(rnd.choice("abcdefghij klmnop") for _ in range(130_000))
+    whole = syncmers.sketch(text.encode())
+    for _ in range(40):
+        at = rnd.randrange(len(text))
+        other = text[:at] + ("Z" if rnd.random() < 0.5 else "a" if text[at] != "a" else "b") + text[at + 1 :]
+        changed = syncmers.sketch(other.encode())
+        assert syncmers.spell(changed) != syncmers.spell(whole)
+        assert 0.99 < syncmers.likeness(whole, changed) < 1
+    # The string grows with the text; a repeated text differs from one repetition more.
+    assert len(syncmers.spell(whole)) > 10 * len(syncmers.spell(syncmers.sketch(text[:3000].encode())))
+    assert syncmers.spell(syncmers.sketch(b"abcd efgh " * 50)) != syncmers.spell(syncmers.sketch(b"abcd efgh " * 51))
+
+
+def test_a_shared_passage_shows_in_long_texts():
+    rnd = random.Random(9)
+    say = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    passage, one, two = say(50), say(9000), say(9000)
+    none = syncmers.likeness(syncmers.sketch(one.encode()), syncmers.sketch(two.encode()))
+    a, b = one[:20_000] + passage + one[20_000:], two[:5_000] + passage + two[5_000:]
+    assert none == 0 < syncmers.likeness(syncmers.sketch(a.encode()), syncmers.sketch(b.encode()))
+
+
+def plain_likeness(a, b):
+    """Longest common subsequence of the first places of distinct anchors, over all anchors."""
+    first = [dict(reversed([*zip(*(x.tolist() for x in syncmers.anchors(t)))])) for t in (a, b)]
+    if not first[0] or not first[1]:
+        return float(first[0] == first[1])
+    shared = first[0].keys() & first[1].keys()
+    x, y = (sorted(shared, key=f.get) for f in first)
+    table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i, u in enumerate(x):
+        for j, v in enumerate(y):
+            table[i + 1][j + 1] = table[i][j] + 1 if u == v else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1] / len(first[0].keys() | first[1].keys())
+
+
+def test_likeness_against_a_plain_version():
+    rnd = random.Random(10)
+    words = [f"word{i}" for i in range(30)]
+    for _ in range(60):
+        a, b = (" ".join(rnd.choice(words) for _ in range(rnd.randrange(0, 40))).encode() for _ in range(2))
+        assert syncmers.likeness(syncmers.sketch(a), syncmers.sketch(b)) == plain_likeness(a, b)
+
+
 def test_syncmers_odd_tables(odd_docs, no_docs):
     rows = syncmers.fingerprints(odd_docs, parts=4).collect()
     assert len(rows) == 9 and sum(r["n_chars"] == 0 for r in rows) == 3
@@ -421,6 +467,90 @@ def test_pages_lose_furniture_only(spark):
     assert html_template.extract(empty).count() == 0
 
 
+def pages_of(spark, bodies, host="h.example.com"):
+    rows = [(k, f"http://{host}/{k}", f"<html><body>{b}</body></html>") for k, b in enumerate(bodies)]
+    found = html_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(found, key=lambda r: r["page_id"])]
+
+
+def test_all_slots_are_returned(spark):
+    """Hosts without an article: lead and body in containers of their own, whatever their shares."""
+    got = pages_of(spark, [f"<div class=content><div class=lead>Lead {k}</div><div class=body>{'body text ' * 20}{k}</div></div>" for k in range(20)])
+    assert got == [f"Lead {k}\n{'body text ' * 20}{k}" for k in range(20)]
+    got = pages_of(spark, [f"<div><h1>Title {k}</h1><p>{'long ' * 50}{k}</p></div>" for k in range(20)])
+    assert got == [f"Title {k}\n{'long ' * 50}{k}" for k in range(20)]
+
+
+def test_constant_containers_are_template(spark):
+    """A footer with the same text on every page of its host goes; so does a box that only some pages have; text that
+    is constant within a container of changing text stays."""
+    foot = "<div class=bottom><p>All of us</p><div class=small>since 1990</div></div>"
+    box = "<div class=box>Try this</div>"
+    bodies = [f"<div class=story><h2>Chapter</h2><p>Text {k}</p></div>{box if k % 2 else ''}{foot}" for k in range(20)]
+    assert pages_of(spark, bodies) == [f"Chapter\nText {k}" for k in range(20)]
+    # Two pages are too few to tell; the same pages on a host of their own keep what a template would take.
+    assert pages_of(spark, bodies[:2], "few.example.com")[0] == "Chapter\nText 0\nAll of us\nsince 1990"
+
+
+def test_the_output_depends_on_the_templates(spark, monkeypatch):
+    bodies = [f"<div class=story>Text {k}</div><div class=bottom>All of us</div>" for k in range(9)]
+    assert pages_of(spark, bodies)[0] == "Text 0"
+    off = lambda pages: spark.createDataFrame([], "host string, main string, constant array<string>, confirmed array<string>, classes long, tokens long")
+    monkeypatch.setattr(html_template, "templates", off)
+    assert pages_of(spark, bodies)[0] == "Text 0\nAll of us"
+
+
+def test_sections_of_an_article_with_names_of_furniture(spark):
+    body = (
+        "<article><h1>Title {0}</h1><p>A {0}</p><h2 id='search-algorithms'>Search</h2><p>B {0}</p><section id='related-work'><p>C {0}</p></section>"
+        "<section class='social-impact'>D {0}</section><div class='share-bar'>Share this</div></article>"
+    )
+    plain = [f"<article><h1>Title {k}</h1><p>A {k}</p><div class='share-bar'>Share this</div></article>" for k in range(18)]
+    got = pages_of(spark, plain + [body.format(k) for k in (18, 19)])
+    # The sections are on two pages, the bar on all: the host's template confirms only the bar.
+    assert got[:18] == [f"Title {k}\nA {k}" for k in range(18)]
+    assert got[18:] == [f"Title {k}\nA {k}\nSearch\nB {k}\nC {k}\nD {k}" for k in (18, 19)]
+
+
+def test_elements_in_text(spark):
+    got = pages_of(spark, ["<p>one <svg width=1 /> two</p><p>let <math>x</math> be <svg><text>no</text></svg> three</p>", "<iframe src=a /><p>after</p>"])
+    assert got == ["one two\nlet x be three", "after"]
+
+
+def test_ids_of_single_pages_do_not_split_a_template(spark):
+    bodies = [f"<div id='post-{k}' class='page p{k}x'><div class=story>Text {k}</div><div class=bottom>Same for all</div></div>" for k in range(12)]
+    assert pages_of(spark, bodies) == [f"Text {k}" for k in range(12)]
+
+
+def test_constant_containers_against_plain_vectors(spark):
+    """Small random hosts: the deduced constant containers are those whose texts have the container's vector."""
+    rnd = random.Random(13)
+    for host in ("a", "b", "c"):
+        bodies = []
+        for k in range(8):
+            parts = [
+                "".join(f"<div class={c}>" + "".join(f"<p>{rnd.choice(['same', 'same', f'own {k} {i}'])} {c}</p>" for i in range(n)) + "</div>" for n in [rnd.choice([0, 1, 1, 2])] if n)
+                for c in "uvwxy" if rnd.random() < 0.8
+            ]
+            bodies.append("".join(parts))
+        pages = [html_template.Page(f"<html><body>{b}</body></html>") for b in bodies]
+        vectors = {}
+        for k, page in enumerate(pages):
+            for path, n in page.counts.items():
+                vectors.setdefault((path, None), [0] * 8)[k] += n
+            for _, text, at, _ in page.blocks:
+                vectors.setdefault((at, text), [0] * 8)[k] += 1
+        want = set()
+        for (path, text), own in vectors.items():
+            texts = [v for (p, t), v in vectors.items() if p == path and t is not None]
+            if text is None and texts and sum(map(bool, own)) >= 3:
+                if all(all(a * sum(own) == b * sum(v) for a, b in zip(v, own)) and sum(map(bool, v)) >= 3 for v in texts):
+                    want.add(path)
+        rows = [(k, f"http://{host}/{k}", f"<html><body>{b}</body></html>") for k, b in enumerate(bodies)]
+        found = html_template.templates(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        assert set(found[0]["constant"] or []) == want
+
+
 # --- edit counts -----------------------------------------------------------
 
 
@@ -522,6 +652,54 @@ def test_licence_families(spark, odd_docs, no_docs):
     assert licenses.scan(no_docs, licenses.train(no_docs)).count() == 0
 
 
+def test_licence_wordings_that_no_document_of_the_fixture_has(spark):
+    """Titles, identifiers, headers and grants, in a paragraph of their own or within one; and near misses."""
+    docs = spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "text")
+    wordings = {
+        "Apache License, Version 2.0": "Apache-2.0",
+        "                              Apache License": None,  # which version is open
+        'Licensed under the Apache License, Version 2.0 (the "License");': "Apache-2.0",
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,': "Apache-2.0",
+        "The MIT License (MIT)": "MIT",
+        "MIT License": "MIT",
+        "// SPDX-License-Identifier: MIT": "MIT",
+        "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL",
+        "/* SPDX-License-Identifier: BSD-3-Clause */": "BSD",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal': "MIT",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.": "BSD",
+        "Licensed under the GNU General Public License v2": "GPL",
+        "it under the terms of the GNU Lesser General Public License as published by": "LGPL",
+        "He got his license at the institute in spring": None,
+        "The general public was invited to the version of the play": None,
+        "Permission to enter was granted free of charge": None,
+    }
+    model = licenses.train(docs)
+    for text, family in wordings.items():
+        got = model.classify(text)
+        assert (got[0] if got and got[4] else None) == family, (text, got)
+    rows = spark.createDataFrame([(k, f"word and word\n{t}\nend") for k, t in enumerate(wordings)], "doc_id long, text string")
+    found = {r["doc_id"]: [(n["paragraph"], n["family"]) for n in r["notices"]] for r in licenses.scan(rows, model).collect()}
+    assert found == {k: [(1, f)] if f else [] for k, f in enumerate(wordings.values())}
+
+
+def test_unknown_paragraphs_are_called_unknown(spark):
+    """Calibration of the unknown class on lines that the model wasn't fitted on."""
+    docs = spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "text")
+    model = licenses.train(docs, max_unknown=300)
+    lines = {x for t in docs.toPandas()["text"] if t for x in t.split("\n")}
+    plain = [x for x in lines if x.strip() and not re.search(r"licen|CC BY|rights", x, re.I)]
+    unknown = [model.probabilities(x)[-1] for x in plain]
+    assert len(plain) > 1000 and sum(p > 0.5 for p in unknown) / len(plain) > 0.99
+
+
+def test_the_sample_of_unknown_paragraphs_has_no_copies(spark):
+    rows = [(k, "same line here\n" * 50 + f"line {k} of its own") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = licenses.train(docs, max_unknown=150)
+    assert model.classify("same line here") is None
+    assert licenses.train(docs.repartition(7), max_unknown=150).temperature == model.temperature  # the same sample in any order
+
+
 def test_paragraphs_without_key_words_cannot_be_confirmed():
     from playtrail.llm import licenses
 
