@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 # Characters removed from titles before they are compared.
 TITLE_PUNCTUATION = "[:,.&'!]"
 
-# Linear-channel names that are not caught by the suffix rules.
+# Linear channels by name (the suffix rule for "-dt" holds for the first two as well).
 LINEAR_CHANNEL_NAMES = ("ktvh-dt", "ksnv-dt", "kgwn2")
 # Call-sign shapes of linear channels, matched against the raw display name.
 LINEAR_CALL_SIGNS = ("(W)[a-zA-Z0-9]+-[a-zA-Z0-9]", "(K)[a-zA-Z0-9]+-[a-zA-Z0-9]")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.rules import RuleSet, rule_set
-from ..plans.guards import materialize
+from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, fits, materialize
 from . import versions as V
 from .clicks import _as_date, click_times
 from .videos import video_times
@@ -54,19 +54,29 @@ def _candidates(sketches: DataFrame, hot_key_rows: int, tracked: int) -> DataFra
     return sketches.select(F.explode(accounts).alias("account_id"), "event_date", uncertain.alias("_uncertain"))
 
 
-def hot_account_days(times: DataFrame, hot_key_rows: int, tracked: int = TRACKED) -> DataFrame:
-    """A superset of the account-days with more than ``hot_key_rows`` rows, written; empty if none can be hot.
+def look(
+    times: DataFrame, hot_key_rows: int, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, tracked: int = TRACKED
+) -> tuple[DataFrame, bool, int]:
+    """(hot, is it small enough to broadcast, rows): a superset of the account-days with more than ``hot_key_rows``
+    rows, written.
 
     ``times`` holds ``account_id, event_date`` of the timeline rows, or of a superset of them."""
     found = materialize(_candidates(sketch_days(times, tracked), hot_key_rows, tracked))
+    small, rows, uncertain = fits(found, max_broadcast_rows, also=F.max("_uncertain"))
+    if not uncertain:
+        return found.select(*BASE_KEYS), small, rows
     days = [r.event_date for r in found.where("_uncertain").select("event_date").distinct().collect()]
-    if not days:
-        return found.select(*BASE_KEYS)
     of_days = F.lit(False)
     for d in days:
         of_days = of_days | F.col("event_date").eqNullSafe(F.lit(d).cast("date"))
     counted = count_hot(times.where(of_days), hot_key_rows)
-    return materialize(found.where(~F.col("_uncertain")).select(*BASE_KEYS).unionByName(counted))
+    hot = materialize(found.where(~F.col("_uncertain")).select(*BASE_KEYS).unionByName(counted))
+    return hot, *fits(hot, max_broadcast_rows)
+
+
+def hot_account_days(times: DataFrame, hot_key_rows: int, tracked: int = TRACKED) -> DataFrame:
+    """The hot account-days of ``look``."""
+    return look(times, hot_key_rows, tracked=tracked)[0]
 
 
 def keep(

@@ -33,8 +33,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, materialize
-from .hot_keys import hot_account_days
+from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, fits, materialize
+from .hot_keys import hot_account_days, look
 from .ordering import with_totals_before
 
 # Row order inside a partition. The original orders by time only; ties are
@@ -187,9 +187,11 @@ def _tag(timeline: DataFrame, times: DataFrame, hot_key_rows: int, max_broadcast
     typed = dict(timeline.dtypes)
     blank = [F.lit(None).cast(typed[c]).alias(c) for c in TIE_ORDER if c not in times.columns]
     hours = materialize(chunk_hours(times.select("*", *blank), hot_key_rows))
-    if not hours.where(F.size("_full") > 0).isEmpty():
+    small, _, full = fits(hours, max_broadcast_rows, also=F.max(F.size("_full")))
+    if full:
         hours = materialize(split_seconds(timeline, hours, hot_key_rows, max_broadcast_rows))
-    hours, _ = bounded_broadcast(hours.drop("_full"), max_broadcast_rows)
+        small, _ = fits(hours, max_broadcast_rows)
+    hours = F.broadcast(hours.drop("_full")) if small else hours.drop("_full")
     joined = timeline.join(
         hours,
         (timeline["account_id"] == hours["account_id"])
@@ -284,10 +286,14 @@ def sequence_timeline(
     plain = Layout(chunked=False)
     if hot_key_rows is None or (times is None and hot_keys is None):
         return _sequence(timeline, keys, plain, between)
-    hot = hot_account_days(times, hot_key_rows) if hot_keys is None else hot_keys
-    if hot.isEmpty():
+    if hot_keys is None:
+        hot, small, n = look(times, hot_key_rows, max_broadcast_rows)
+    else:
+        hot, (small, n) = hot_keys, fits(hot_keys, max_broadcast_rows)
+    if n == 0:
         return _sequence(timeline, keys, plain, between)
-    side, _ = bounded_broadcast(hot.select(*[F.col(c).alias(f"_key_{c}") for c in BASE_KEYS]), max_broadcast_rows)
+    side = hot.select(*[F.col(c).alias(f"_key_{c}") for c in BASE_KEYS])
+    side = F.broadcast(side) if small else side
     is_hot = _all([F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in BASE_KEYS])
     cold = _sequence(timeline.join(side, is_hot, "left_anti"), keys, plain, between)
     # R4 takes a click's day from upstream, where it may be NULL: such rows are

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The largest side worth copying to every executor; bigger sides take a
@@ -60,13 +60,17 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def fits(
-    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> tuple[bool, int]:
-    """(is it small enough to broadcast, rows): at most ``max_rows`` rows and
-    ``max_bytes`` bytes (of its rows spelled out, keys left out)."""
+    df: DataFrame,
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+    also: Column | None = None,
+) -> tuple:
+    """(is it small enough to broadcast, rows[, value of the aggregate ``also``]): at most ``max_rows``
+    rows and ``max_bytes`` bytes (of its rows spelled out, keys left out), in one job."""
     width = F.octet_length(F.array_join(F.array(*[F.col(c).cast("string") for c in df.columns]), ","))
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
-    return rows <= max_rows and (size or 0) <= max_bytes, rows
+    more = [] if also is None else [also]
+    rows, size, *values = df.agg(F.count(F.lit(1)), F.sum(width), *more).first()
+    return rows <= max_rows and (size or 0) <= max_bytes, rows, *values
 
 
 def bounded_broadcast(
