@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -54,6 +54,13 @@ def _candidates(sketches: DataFrame, hot_key_rows: int, tracked: int) -> DataFra
     return sketches.select(F.explode(accounts).alias("account_id"), "event_date", uncertain.alias("_uncertain"))
 
 
+def _on_days(name: str, days: list[dt.date | None]) -> Column:
+    """Is the day one of ``days`` (None: no day)? One list, not a comparison for each day: below a projection
+    each comparison would work the day out again, for clicks from the time zone."""
+    on = F.col(name).isin([d for d in days if d is not None])
+    return on | F.col(name).isNull() if None in days else on
+
+
 def look(
     times: DataFrame, hot_key_rows: int, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, tracked: int = TRACKED
 ) -> tuple[DataFrame, bool, int]:
@@ -66,10 +73,7 @@ def look(
     if not uncertain:
         return found.select(*BASE_KEYS), small, rows
     days = [r.event_date for r in found.where("_uncertain").select("event_date").distinct().collect()]
-    of_days = F.lit(False)
-    for d in days:
-        of_days = of_days | F.col("event_date").eqNullSafe(F.lit(d).cast("date"))
-    counted = count_hot(times.where(of_days), hot_key_rows)
+    counted = count_hot(times.where(_on_days("event_date", days)), hot_key_rows)
     hot = materialize(found.where(~F.col("_uncertain")).select(*BASE_KEYS).unionByName(counted))
     return hot, *fits(hot, max_broadcast_rows)
 

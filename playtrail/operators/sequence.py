@@ -20,7 +20,8 @@ Windows then run per chunk, and the few values that cross a chunk border
 (the previous row's fields, the next row's fields, the running island
 number, island totals) are carried over by per-chunk summary tables: one
 row per chunk, with windows over at most "chunks per key" rows. Only the rows
-of hot keys meet this plan: they are written once to the checkpoint folder and
+of hot keys meet this plan: they are written once to the checkpoint folder (with
+many hot keys the whole timeline is, and read by both plans) and
 chunked there, all other rows take the plain plan, and both results are
 united. Without hot keys none of this is planned.
 """
@@ -59,6 +60,10 @@ BASE_KEYS = ("account_id", "event_date")
 
 DEFAULT_HOT_KEY_ROWS = 4_000_000
 
+# With more hot account-days than this, the whole timeline is written once instead of being made twice, for
+# the hot rows and for the others.
+MANY_HOT_KEYS = 10_000
+
 # Stands for a NULL day among the hot rows.
 NO_DAY = "9999-12-31"
 
@@ -206,11 +211,14 @@ def _tag(timeline: DataFrame, times: DataFrame, hot_key_rows: int, max_broadcast
         hours["_starts"], lambda st: F.struct(st["_second"].alias("_second"), st["_key"].alias("_key")) <= own
     )
     chunk = F.coalesce(F.try_element_at(started, F.lit(-1))["_chunk"], hours["_base"])
-    return joined.select(
+    tagged = joined.select(
         *[timeline[c] for c in timeline.columns],
         hours["_base"].isNotNull().alias("_hot"),
         F.coalesce(chunk, F.lit(0)).cast("long").alias("_chunk"),
     )
+    # The windows and the summaries read the tagged rows several times over, each with columns of its own,
+    # so that Spark can't share the shuffles of this join: it is done once.
+    return tagged if small else materialize(tagged)
 
 
 def _null_safe_key(name: str) -> Column:
@@ -295,12 +303,20 @@ def sequence_timeline(
     side = hot.select(*[F.col(c).alias(f"_key_{c}") for c in BASE_KEYS])
     side = F.broadcast(side) if small else side
     is_hot = _all([F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in BASE_KEYS])
-    cold = _sequence(timeline.join(side, is_hot, "left_anti"), keys, plain, between)
+    if n > MANY_HOT_KEYS:
+        # Much of the timeline is hot: it is made and told apart once, and both plans read it.
+        named = side.distinct().withColumn("_named", F.lit(True))
+        named = F.broadcast(named) if small else named
+        told = materialize(timeline.join(named, is_hot, "left").select(*timeline.columns, F.col("_named").isNotNull().alias("_named")))
+        cold_rows, hot_rows = told.where(~F.col("_named")).drop("_named"), told.where("_named").drop("_named")
+    else:
+        cold_rows = timeline.join(side, is_hot, "left_anti")
+        hot_rows = materialize(timeline.join(side, is_hot, "left_semi"))
+    cold = _sequence(cold_rows, keys, plain, between)
     # R4 takes a click's day from upstream, where it may be NULL: such rows are
     # split as well, under a day that no log holds.
     no_day = F.lit(NO_DAY).cast("date")
-    dated = F.coalesce("event_date", no_day)
-    rows = materialize(timeline.join(side, is_hot, "left_semi").withColumn("event_date", dated))
+    rows = hot_rows.withColumn("event_date", F.coalesce("event_date", no_day))
     tagged = _tag(rows, rows, hot_key_rows, max_broadcast_rows)
     split = _sequence(tagged, keys, Layout(chunked=True), between, timeline.columns)
     return cold.unionByName(split.withColumn("event_date", F.nullif("event_date", no_day)))

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from playtrail.functions.rules import R1, R3, R4
 from playtrail.operators import hot_keys as H
+from playtrail.operators import sequence as S
 from playtrail.operators.attribution import build_attribution, timeline_rows
+from playtrail.operators.clicks import click_times
 from playtrail.operators.sequence import BASE_KEYS, _tag
 from playtrail.plans.catalog import PARAMS, rounded
-from playtrail.plans.guards import checkpoint_dir
+from playtrail.plans.guards import checkpoint_dir, materialize
 from playtrail.sources.fixture import fixture_tables
 from playtrail.sources.readers import CLICKSTREAM_COLUMNS, VIDEO_LOG_COLUMNS
 
@@ -127,3 +129,46 @@ def test_a_second_of_100_000_rows_is_split(spark):
     sizes = sizes.orderBy("_chunk").collect()
     assert len(sizes) == n // target and {s.n for s in sizes} == {target}
     assert all(x.b < y.a for x, y in zip(sizes, sizes[1:]))  # chunks follow the row order
+
+
+def test_days_are_worked_out_once_however_many_are_counted(spark):
+    """Sketches that can't tell a day leave it to a count: a row's day isn't compared day by day."""
+    clicks, _ = fixture_tables(spark, SF_SMALL)
+    t = click_times(clicks, R3, P["from_date"], P["to_date"])
+
+    def conversions(n):
+        days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(n)]
+        text = t.where(H._on_days("event_date", [*days, None]))._jdf.queryExecution().executedPlan().toString()
+        return text.count("convert_timezone")
+
+    assert 0 < conversions(28) <= conversions(2)
+    rows = spark.createDataFrame([("a", DAY), ("b", None), ("c", DAY + dt.timedelta(days=1))], "account_id string, event_date date")
+    kept = lambda *days: {r.account_id for r in rows.where(H._on_days("event_date", list(days))).collect()}
+    assert (kept(DAY), kept(DAY, None), kept(None), kept()) == ({"a"}, {"a", "b"}, {"b"}, set())
+
+
+def test_tagged_rows_are_joined_once_where_chunks_are_many(spark):
+    clicks, videos = fixture_tables(spark, SF_SMALL, shared_every=3)
+    rows = timeline_rows(clicks, videos, R4, **P)
+    few, many = _tag(rows, rows, 5, 1_000_000), _tag(rows, rows, 5, 0)
+    # No broadcast: the rows come from files, so that whatever reads them doesn't repeat the join.
+    assert "Join" in few._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in many._jdf.queryExecution().executedPlan().toString()
+    assert many.count() == few.count() > 0 and many.exceptAll(few).count() == 0
+
+
+@pytest.mark.parametrize("rules,broadcast", [(R1, 1_000_000), (R3, 0), (R4, 1_000_000)], ids=["R1", "R3-shuffle", "R4"])
+def test_many_hot_keys_make_the_timeline_once(spark, monkeypatch, rules, broadcast):
+    monkeypatch.setattr(S, "MANY_HOT_KEYS", 3)
+    written = []
+    monkeypatch.setattr(S, "materialize", lambda df: written.append(df) or materialize(df))
+    clicks, videos = fixture_tables(spark, SF_SMALL, wide=True)
+    hot = videos.select(*BASE_KEYS).where("account_id is null or account_id < '15'")
+    hot = hot.unionByName(clicks.where("event_date is null").select(*BASE_KEYS).limit(20))  # some come twice
+    kw = dict(P, min_accounts=1, max_broadcast_rows=broadcast)
+    many = build_attribution(clicks, videos, rules, hot_key_rows=3, hot_keys=hot, **kw)
+    # Rows of other account-days are read from what was written, not told apart by a second pass over the inputs.
+    assert "LeftAnti" not in many._jdf.queryExecution().executedPlan().toString()
+    assert "_named" in written[0].columns
+    plain = build_attribution(clicks, videos, rules, hot_key_rows=None, **kw)
+    assert many.count() == plain.count() > 0 and rounded(many).exceptAll(rounded(plain)).count() == 0
