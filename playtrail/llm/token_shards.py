@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -45,20 +46,35 @@ SHARD_BYTES = 32 << 20
 KEY = "order-1"
 ROUNDS = 6
 
+# White space as the pattern knows it (White_Space in Unicode), and the place before the last of several.
+SPACES = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+LAST_SPACE = re.compile(f"(?<=[{SPACES}])(?=[{SPACES}][^{SPACES}])")
+
 
 class Encoder:
-    """Ids of a text as 16-bit integers."""
+    """Ids of a text as 16-bit integers.
+
+    The pattern looks ahead for one thing only: the last of several white-space characters before other text
+    isn't taken with the others. Texts are cut in front of it, and what is left is split by the pattern
+    without the look, which an automaton can run."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         if len(ranks) >= 1 << 16:
             raise ValueError("a 16-bit shard needs a vocabulary of fewer than 65,536 ids")
-        self.encoding = tiktoken.Encoding("shards", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        plain = PATTERN.replace(r"|\s+(?!\S)", "")
+        self.encoding = tiktoken.Encoding("shards", pat_str=plain, mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1  # the first free id ends a document
 
+    def ids(self, text: str) -> list[int]:
+        own = [c for c in SPACES if c in text]
+        if any(a + b in text for a in own for b in own):
+            return [i for part in LAST_SPACE.split(text) for i in self.encoding.encode_ordinary(part)]
+        return self.encoding.encode_ordinary(text)
+
     def encode(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), np.uint16).tobytes()
+        return np.array(self.ids(text), np.uint16).tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -93,10 +109,10 @@ def feistel(x: np.ndarray, n: int, key: str = KEY) -> np.ndarray:
         out[far] = once(out[far])
 
 
-def _streams(batches: Iterable[pa.RecordBatch], own: Encoder) -> Iterator[tuple[int, bytes]]:
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, str]]:
     for b in text_chunks(batches):
         for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            yield doc, own.encode(text or "") + np.uint16(own.end).tobytes()
+            yield doc, text or ""
 
 
 def count(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
@@ -104,7 +120,7 @@ def count(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary)
-        tokens = sum(len(ids) // 2 for _, ids in _streams(batches, own))
+        tokens = sum(len(own.ids(text)) + 1 for _, text in _texts(batches))
         part = TaskContext.get().partitionId()
         if tokens:
             yield pa.RecordBatch.from_pydict({"part": [part], "tokens": [tokens], "sequences": [-(-tokens // length)]})
@@ -157,7 +173,9 @@ def write_shards(
             rows.append(data), doc_ids.append(opened), filled.append(tokens)
             ordinal += 1
 
-        for doc, ids in _streams(batches, own):
+        end = np.uint16(own.end).tobytes()
+        for doc, text in _texts(batches):
+            ids = own.encode(text) + end
             seen += len(ids) // 2
             if not held:
                 opened = doc

@@ -8,6 +8,7 @@ import string
 import numpy as np
 import public_tokenizers
 import pytest
+import tiktoken
 import xxhash
 from tokenizers import Tokenizer
 
@@ -623,6 +624,21 @@ def test_shards_hold_every_token_in_training_order(spark, tmp_path):
     assert not [p.name for p in (tmp_path / "out").iterdir() if "_writing" in p.name]
 
 
+def test_shard_ids_are_those_of_the_whole_pattern_without_its_look_ahead():
+    own = token_shards.encoder(RANKS)
+    assert "(?!" not in own.encoding._pat_str
+    whole = tiktoken.Encoding(
+        "whole", pat_str=token_shards.PATTERN, mergeable_ranks=own.encoding._mergeable_ranks, special_tokens={}
+    )
+    spaces = [c for c in map(chr, range(0x3001)) if c.isspace()]
+    texts = [f"{x}{a}{b}{y}" for a in spaces for b in spaces for x in ("", "x") for y in ("", "y", ".", f"{a}'s")]
+    rnd = random.Random(5)
+    parts = ["a", "B", "é", "漢", "12", "'s", "'", " ", "  ", "\n", "\r\n", "\t", "\xa0", "\u3000", "\x1c", "\u200b", "!?", "🙂", "don't"]
+    texts += ["".join(rnd.choices(parts, k=rnd.randrange(12))) for _ in range(5000)]
+    for t in texts:
+        assert own.encode(t) == np.array(whole.encode_ordinary(t), np.uint16).tobytes(), repr(t)
+
+
 def test_shards_odd_tables(odd_docs, no_docs, tmp_path):
     rows = token_shards.write_shards(odd_docs, RANKS, f"file://{tmp_path}/odd", length=8).collect()
     assert sorted(r["slot"] for r in rows) == list(range(len(rows))) and len(rows) > 1000
