@@ -33,7 +33,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -51,8 +50,12 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 MAX_ARCS = 1_000_000
 MAX_PIECES = 250_000
 
-# A space that isn't alone between two other characters: such texts are split by the pattern as a whole.
-UNEVEN = re.compile(r"^ | $| \s|\s ")
+SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
+
+
+def uneven(text: str) -> bool:
+    """Is there a space that isn't alone between two other characters? Such texts are split by the pattern as a whole."""
+    return text.startswith(" ") or text.endswith(" ") or any(f" {c}" in text or f"{c} " in text for c in SPACES if c in text)
 
 
 def byte_letters() -> dict[str, int]:
@@ -108,19 +111,9 @@ class WordEncoder:
             for n in range(1, len(data) + 1):
                 at = self.label.get(data[:n], at)
                 self.deepest[data[:n]] = at
+        self.sizes = {i: len(data) for data, i in self.label.items()}
         self.arcs: dict[tuple[int, int], bool] = {}
 
-    def _first(self, word: bytes, at: int) -> int:
-        """The longest label that the word goes on with at a place."""
-        get = self.deepest.get
-        found = -1
-        for end in range(at + 1, len(word) + 1):
-            label = get(word[at:end])
-            if label is None:
-                break
-            found = label
-        return found
-
     def _arc(self, u: int, v: int) -> bool:
         got = self.arcs.get((u, v))
         if got is None:
@@ -134,24 +127,39 @@ class WordEncoder:
         whole = self.label.get(word)
         if whole is not None:
             return [whole]
-        arcs, labels, shorter, n = self.arcs, self.labels, self.shorter, len(word)
+        sizes, shorter, deepest, arc, n = self.sizes, self.shorter, self.deepest.get, self.arcs.get, len(word)
         out: list[int] = []
         dead: set[int] = set()
-        at, last, label = 0, -1, self._first(word, 0)
+        at, last, label = 0, -1, None
         while at < n:
+            if label is None:  # a new place: the longest label that the word goes on with
+                label, end = -1, at + 1
+                longest = deepest(word[at : at + 3])  # most go on for three bytes
+                if longest is not None:
+                    label, end = longest, at + 4
+                while end <= n:
+                    longest = deepest(word[at:end])
+                    if longest is None:
+                        break
+                    label = longest
+                    end += 1
             while label >= 0:
-                end = at + len(labels[label])
-                if end not in dead and (last < 0 or (arcs.get((last, label)) or self._arc(last, label))):
-                    break
+                end = at + sizes[label]
+                if end not in dead:
+                    if last < 0:
+                        break
+                    is_open = arc((last, label))
+                    if is_open or (is_open is None and self._arc(last, label)):
+                        break
                 label = shorter[label]
             if label >= 0:
                 out.append(label)
-                at, last = end, label
-                label = self._first(word, at) if at < n else -1
+                at, last, label = end, label, None
             elif out:  # no way on from here: one label back, and a shorter one
                 dead.add(at)
                 label = out.pop()
-                at -= len(labels[label])
+                at -= sizes[label]
+                label = shorter[label]
                 last = out[-1] if out else -1
             else:
                 raise ValueError("the vocabulary has no label for a byte of the text")
@@ -193,16 +201,21 @@ class Codec:
         return ids
 
     def _plain(self, text: str) -> list[bytes]:
-        if UNEVEN.search(text):
+        if uneven(text):
             return [self._piece(text)]
-        get, new = self.known.young.get, self._looked_up
         first, *rest = text.split(" ")
-        return [new(first), *[get(p) or new(p) for p in map(" ".__add__, rest)]]
+        new = self._looked_up
+        pieces = list(map(" ".__add__, rest))
+        found = zip(map(self.known.young.get, pieces), pieces)
+        return [new(first), *[ids or new(piece) for ids, piece in found]]
 
     def _looked_up(self, piece: str) -> bytes:
         ids = self.known.find(piece)
         if ids is None:
-            ids = self._piece(piece)
+            words = self.pattern.findall(piece)
+            if len(words) == 1:
+                return self._word(piece)
+            ids = b"".join(map(self._word, words))
             if len(piece) <= 64:
                 self.known.put(piece, ids)
         return ids
@@ -224,7 +237,11 @@ class Codec:
         arcs = self.arcs
         if ids and not 0 <= min(ids) <= max(ids) < len(arcs):
             ids = [i for i in ids if 0 <= i < len(arcs)]
-        return b"".join(map(arcs.__getitem__, ids)).decode("utf-8", "replace")
+        return self.spelled(ids)
+
+    def spelled(self, ids: list[int]) -> str:
+        """The text of ids that all have a place in the vocabulary, as those of ``encode``."""
+        return b"".join(map(self.arcs.__getitem__, ids)).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -283,7 +300,7 @@ def coded(docs: DataFrame, vocabulary: str) -> DataFrame:
                 plain = found.tolist()
                 ids.append(found)
                 ids_sha.append(hashlib.sha256(",".join(map(digits.__getitem__, plain)).encode()).hexdigest())
-                decoded_sha.append(hashlib.sha256(own.decode(plain).encode()).hexdigest())
+                decoded_sha.append(hashlib.sha256(own.spelled(plain).encode()).hexdigest())
             offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
             values = pa.array(np.concatenate(ids).astype(np.int32)) if ids else pa.array([], pa.int32())
             yield pa.RecordBatch.from_arrays(

@@ -198,6 +198,23 @@ def test_bpe_matches_the_library(spark, odd_docs, no_docs):
     assert bpe_automaton.digests(no_docs, BYTE_BPE).count() == 0
 
 
+def test_known_arcs_are_not_asked_for_again(monkeypatch):
+    """A word that is encoded once more needs the table of arcs alone, the closed ones among them."""
+    own, library, rnd = bpe_automaton.codec(BYTE_BPE), Tokenizer.from_file(BYTE_BPE), random.Random(11)
+    words = ["".join(rnd.choices("aeiouthnrs", k=rnd.randrange(3, 16))) for _ in range(300)]
+    want = [library.encode(w, add_special_tokens=False).ids for w in words]
+    assert [own.words.encode(w.encode()) for w in words] == want
+    monkeypatch.setattr(own.words, "_arc", None)
+    assert [own.words.encode(w.encode()) for w in words] == want
+
+
+def test_uneven_spaces():
+    plain = re.compile(r"^ | $| \s|\s ")
+    spaces = [c for c in map(chr, range(0x110000)) if c.isspace()]
+    for t in [f"{x}{a}{b}{y}" for a in spaces for b in ["", *spaces] for x in ("", "x") for y in ("", "y")]:
+        assert bpe_automaton.uneven(t) == bool(plain.search(t)), repr(t)
+
+
 def test_token_automaton_accepts_only_bpe_output():
     a, b, c = 0, 1, 2  # merges: aa -> 3, ab -> 4, 3 b -> 5
     own = bpe_automaton.TokenAutomaton([a, b, c], [(a, a, 3), (a, b, 4), (3, b, 5)])
